@@ -16,9 +16,14 @@ def replace_all(c: Column, pairs: list[tuple[str, str]]) -> Column:
     return reduce(lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), pairs, c)
 
 
+# White space as Unicode-aware trimming understands it.
+_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007" \
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.trim(c, F.lit(_SPACES))
 
 
 def lookup(c: Column, table: dict[str, str]) -> Column:

@@ -164,7 +164,7 @@ def nearest_codes(keys: DataFrame, targets: DataFrame, tenths: int, limit: int)
     )
     blocks = (
         codes.join(grid, "county")
-        .withColumn("block", F.pmod(F.xxhash64("code"), F.col("blocks")))
+        .withColumn("block", F.pmod(F.xxhash64("code"), F.col("blocks")).cast("int"))
         .groupBy("county", "block", "tiles")
         .agg(F.collect_list(F.struct("code", "names")).alias("codes"))
         .select("county", "block", "codes", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
@@ -172,7 +172,7 @@ def nearest_codes(keys: DataFrame, targets: DataFrame, tenths: int, limit: int)
     tiles = (
         keys.join(grid, "county")
         .withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).cast("bigint"))
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(*KEY, "tile", "block", max_edits("key", tenths).alias("k"))
     )
     near = """
@@ -257,7 +257,7 @@ def fuzzy_matches(
     Runs jobs: each round is written to the checkpoint folder.
     """
     keys, targets = cut_lineage(keys), cut_lineage(targets.select(*CODE, "alias").distinct())
-    empty = keys.limit(0).select(
+    empty = keys.filter(F.lit(False)).select(
         *KEY, F.lit("").alias("code"), F.lit(0).alias("dist"), F.lit(0).alias("tier")
     )
     near = [t for t in tiers if t <= PIECE_TIERS]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.functions import rules
-from gradeloom.functions._columns import ColumnLike, col, replace_all, strip
+from gradeloom.functions._columns import ColumnLike, bind, col, replace_all, strip
 
 RESULT_ROW = r"""(?is)<tr\b[^>]*\bclass\s*=\s*["']?(?:[^"'>]*\s)?tr[12](?=[\s"'>])[^>]*>(.*?)</tr>"""
 TABLE_CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
@@ -62,11 +62,13 @@ def paired_rows(rows: ColumnLike) -> Column:
 
     The second half of a last odd row is empty, which the page audit reports.
     """
-    rows = col(rows)
-    lines = F.coalesce(rows, F.array().cast("array<array<string>>"))
-    starts = F.filter(F.sequence(F.lit(0), F.size(lines)), lambda i: (i % 2 == 0) & (i < F.size(lines)))
     nothing = F.array().cast("array<string>")
-    return F.transform(starts, lambda i: F.concat(F.get(lines, i), F.coalesce(F.get(lines, i + 1), nothing)))
+
+    def pair_up(lines: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(lines)), lambda i: (i % 2 == 0) & (i < F.size(lines)))
+        return F.transform(starts, lambda i: F.concat(F.get(lines, i), F.coalesce(F.get(lines, i + 1), nothing)))
+
+    return bind(F.coalesce(col(rows), F.array().cast("array<array<string>>")), pair_up)
 
 
 def page_rows(
@@ -78,7 +80,9 @@ def page_rows(
     if two_lines:
         rows = paired_rows(rows)
     good = pages.filter(~is_error_page("html"))
-    return good.select(*keep, F.posexplode(rows).alias("row_no", "cells"))
+    # The inner form would make Spark test the array for emptiness, and cut the page up twice.
+    cut = good.select(*keep, F.posexplode_outer(rows).alias("row_no", "cells"))
+    return cut.filter(F.col("row_no").isNotNull())
 
 
 def first_line(c: ColumnLike) -> Column:
@@ -87,27 +91,26 @@ def first_line(c: ColumnLike) -> Column:
 
 def reorder_two_lines(first: ColumnLike, second: ColumnLike) -> Column:
     """Older layout of a two-line record, without the ranking columns the first line may have."""
-    first, second = col(first), col(second)
-    extra = F.size(first) - 19
-
-    def of_first(start: Column, stop: Column) -> Column:
-        return F.slice(first, start + 1, stop - start + 1)
-
-    def of_second(start: int, stop: int) -> Column:
-        return F.slice(second, start + 1, stop - start + 1)
-
-    # Spans of the two lines, in the order of the older files.
-    cells = F.concat(
-        F.slice(first, 1, 2),
-        of_first(extra + 2, extra + 11),
-        of_second(0, 3),
-        of_first(extra + 12, extra + 14),
-        of_second(4, 6),
-        of_first(extra + 15, extra + 15),
-        of_second(7, 9),
-        of_first(extra + 16, extra + 18),
-    )
-    return F.transform(cells, first_line)
+
+    def span(line: Column, start, stop) -> Column:
+        return F.slice(line, start + F.lit(1), stop - start + F.lit(1))
+
+    def join_spans(one: Column, two: Column) -> Column:
+        extra = F.size(one) - 19
+        # Spans of the two lines, in the order of the older files.
+        cells = F.concat(
+            span(one, F.lit(0), F.lit(1)),
+            span(one, extra + 2, extra + 11),
+            span(two, F.lit(0), F.lit(3)),
+            span(one, extra + 12, extra + 14),
+            span(two, F.lit(4), F.lit(6)),
+            span(one, extra + 15, extra + 15),
+            span(two, F.lit(7), F.lit(9)),
+            span(one, extra + 16, extra + 18),
+        )
+        return F.transform(cells, first_line)
+
+    return bind(col(first), lambda one: bind(col(second), lambda two: join_spans(one, two)))
 
 
 def name_cells(rows: DataFrame, header: list[str], keep: list[str]) -> DataFrame:

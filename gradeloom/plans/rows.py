@@ -52,8 +52,15 @@ def _bad_line(df: DataFrame) -> Column:
     return F.col(BAD_LINE).isNotNull() if BAD_LINE in df.columns else F.lit(False)
 
 
-def bac_rows(raw: DataFrame, mapping: dict[str, str], year: int, keep: list[str] = []) -> DataFrame:
-    """Leaving-exam rows of one year; ``keep`` names source columns to carry along."""
+def _year(year: int | Column) -> Column:
+    return F.lit(year) if isinstance(year, int) else year
+
+
+def bac_rows(raw: DataFrame, mapping: dict[str, str], year: int | Column, keep: list[str] = []) -> DataFrame:
+    """Leaving-exam rows; ``keep`` names source columns to carry along.
+
+    ``year`` is a number, or a kept column when the source covers several years.
+    """
     contracts.check_bac_mapping(mapping)
     fields = contracts.BAC_REQUIRED + contracts.BAC_OPTIONAL
     df = contracts.project(raw, mapping, fields, _kept(raw, keep))
@@ -63,7 +70,7 @@ def bac_rows(raw: DataFrame, mapping: dict[str, str], year: int, keep: list[str]
     else:
         earlier = labels.is_yes("promotie_anterioara")
     df = df.withColumns({
-        "an": F.lit(year),
+        "an": _year(year),
         "_checks": F.struct(
             ((labels.parse_sex(sex).isNull()) if "sex" in mapping else F.lit(False)).alias("sex"),
             codes.bad_school_code(code).alias("code"),
@@ -102,8 +109,8 @@ def bac_rows(raw: DataFrame, mapping: dict[str, str], year: int, keep: list[str]
     return df.select(*BAC_COLUMNS, *keep, REASONS)
 
 
-def en_rows(raw: DataFrame, mapping: dict[str, str], year: int, keep: list[str] = []) -> DataFrame:
-    """8th-grade exam and placement rows of one year."""
+def en_rows(raw: DataFrame, mapping: dict[str, str], year: int | Column, keep: list[str] = []) -> DataFrame:
+    """8th-grade exam and placement rows."""
     contracts.check_en_mapping(mapping)
     fields = contracts.EN_REQUIRED + contracts.EN_OPTIONAL
     df = contracts.project(raw, mapping, fields, _kept(raw, keep))
@@ -111,7 +118,7 @@ def en_rows(raw: DataFrame, mapping: dict[str, str], year: int, keep: list[str]
     school, track = F.col("repartizat_liceu_nume"), F.col("repartizat_specializare")
     placed = ~placement.is_unplaced(school, track)
     df = df.withColumns({
-        "an": F.lit(year),
+        "an": _year(year),
         "_checks": F.struct(
             ((labels.parse_sex(sex).isNull()) if "sex" in mapping else F.lit(False)).alias("sex"),
             codes.bad_school_code(code).alias("code"),
@@ -154,7 +161,7 @@ def en_rows(raw: DataFrame, mapping: dict[str, str], year: int, keep: list[str]
 
 
 def old_bac_rows(
-    records: DataFrame, year: int, primary: DataFrame | None = None, secondary: DataFrame | None = None
+    records: DataFrame, year: int | Column, primary: DataFrame | None = None, secondary: DataFrame | None = None
 ) -> DataFrame:
     """Older leaving-exam rows. With two registries the records are open data: the school
     comes from its code, the final marks from appeals, the cohort flag from its text."""
@@ -169,7 +176,7 @@ def old_bac_rows(
     label = labels.old_result_label("rezultat_final")
     df = records.withColumn("rezultat", label)
     return df.select(
-        F.lit(year).alias("an"),
+        _year(year).alias("an"),
         "cod_candidat",
         F.col("judet").alias("id_judet"),
         names.canonical_id("liceu", "judet", place_rules=False).alias("id_liceu"),
@@ -208,12 +215,12 @@ def _none(*columns: str, kind: str = "string") -> list[Column]:
     return [F.lit(None).cast(kind).alias(c) for c in columns]
 
 
-def old_en_rows(records: DataFrame, year: int, keep: list[str] = []) -> DataFrame:
+def old_en_rows(records: DataFrame, year: int | Column, keep: list[str] = []) -> DataFrame:
     """Older 8th-grade rows from JSON records with a county and a school code."""
     county, first = F.col("county"), grades.published_final_grade
     medie = grades.parse_grade("mev", upper=None)
     return records.select(
-        F.lit(year).alias("an"), F.col("name").alias("cod_candidat"),
+        _year(year).alias("an"), F.col("name").alias("cod_candidat"),
         *_school(F.col("school"), county), F.col("schoolCode").alias("cod_siiir"),
         first("rf", "ri", test_raw=True).alias("lr_final"),
         first("mf", "mi", test_raw=True).alias("ma_final"),
@@ -224,12 +231,12 @@ def old_en_rows(records: DataFrame, year: int, keep: list[str] = []) -> DataFram
     )
 
 
-def old_en_site_rows(records: DataFrame, year: int, keep: list[str] = []) -> DataFrame:
+def old_en_site_rows(records: DataFrame, year: int | Column, keep: list[str] = []) -> DataFrame:
     """The same from site rows, where the county is the prefix of the candidate code."""
     county, first = codes.county_prefix("cod_candidat"), grades.published_final_grade
     medie = grades.parse_grade("medie", upper=None)
     return records.select(
-        F.lit(year).alias("an"), "cod_candidat",
+        _year(year).alias("an"), "cod_candidat",
         *_school(F.col("scoala"), county), *_none("cod_siiir"),
         first("lrf", "lri").alias("lr_final"),
         first("mf", "mi").alias("ma_final"),
@@ -240,12 +247,12 @@ def old_en_site_rows(records: DataFrame, year: int, keep: list[str] = []) -> Dat
     )
 
 
-def old_placement_rows(records: DataFrame, year: int, keep: list[str] = []) -> DataFrame:
+def old_placement_rows(records: DataFrame, year: int | Column, keep: list[str] = []) -> DataFrame:
     """Older placement rows from JSON records."""
     county, placed = names.county_from_text("jp"), F.col("h") != ""
     high_school = names.canonical_id(placement.placement_school("h"), F.col("ja"), place_rules=False)
     return records.select(
-        F.lit(year).alias("an"), F.col("n").alias("cod_candidat"),
+        _year(year).alias("an"), F.col("n").alias("cod_candidat"),
         *_school(F.col("s"), county), F.col("sc").alias("cod_siiir"),
         grades.parse_grade("nro", upper=None).alias("lr_final"),
         grades.parse_grade("nmate", upper=None).alias("ma_final"),

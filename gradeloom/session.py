@@ -17,6 +17,7 @@ def local_session(cpus: int = 8, app: str = "gradeloom", memory: str = "12g") ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
