@@ -41,12 +41,11 @@ def exact_match(spark: SparkSession, sf: str) -> DataFrame:
     return matching.exact_matches(*keys_and_targets(spark, sf))
 
 
-@query("near_pairs", ov.sql(ov.INSTITUTIONS, ov.REGISTRY, ov.SOURCE_SCHOOLS, _KEYS, select="""
-SELECT county, key, code, min(levenshtein(key, alias))::int AS dist FROM keys JOIN targets USING (county)
-WHERE abs(length(key) - length(alias)) <= length(key) * 2 // 10 AND levenshtein(key, alias) <= length(key) * 2 // 10 GROUP BY ALL"""))
-def near_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """All pairs within two tenths, found through rare pieces."""
-    return matching.near_pairs(*keys_and_targets(spark, sf), tenths=2)
+@query("equal_codes", ov.sql(ov.INSTITUTIONS, ov.REGISTRY, ov.SOURCE_SCHOOLS, _KEYS, select="""
+SELECT DISTINCT county, key, code, 0 AS dist FROM keys JOIN targets USING (county) WHERE key = alias"""))
+def equal_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """All codes that have an alias equal to a key."""
+    return matching.equal_codes(*keys_and_targets(spark, sf)).drop("cut")
 
 
 @query("fuzzy_candidates", ov.sql(ov.INSTITUTIONS, ov.REGISTRY, ov.SOURCE_SCHOOLS, _KEYS, select="""

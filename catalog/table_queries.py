@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +13,7 @@ from gradeloom.functions import grades
 from gradeloom.functions import registry as cells
 from gradeloom.operators import dedupe, pages, ranking, updates
 from gradeloom.plans import loads
-from gradeloom.session import ensure_checkpoint_dir
+from gradeloom.session import shared_folder
 from gradeloom.sources import readers, tables
 
 # -- duplicates and sets ------------------------------------------------------
@@ -210,17 +208,11 @@ def active_columns(spark: SparkSession, sf: str) -> DataFrame:
     return flags.unpivot([], columns, "name", "active")
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A new folder beside the checkpoints, so on a cluster all executors can reach it."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-
-
 @query("replace_year", ov.sql(_BASE, select="""
 SELECT an, cod, CASE WHEN an = 1997 THEN 'new' ELSE status END AS status, price FROM base WHERE NOT (an = 1997 AND status = 'P')"""))
 def replace_year(spark: SparkSession, sf: str) -> DataFrame:
     """All years stored, then one year replaced by changed and fewer rows."""
-    stored, path = stored_rows(spark, sf).drop("note"), _scratch(spark, "years")
+    stored, path = stored_rows(spark, sf).drop("note"), shared_folder(spark, "years")
     stored.write.partitionBy("an").parquet(path)
     fresh = readers.read_table(spark, path, where=F.col("an") == 1997).filter("status <> 'P'")
     tables.replace_year(fresh.withColumn("status", F.lit("new")), path, 1997)
@@ -233,7 +225,7 @@ SELECT base.an, base.cod, CASE WHEN batch.cod IS NULL THEN base.status ELSE batc
 FROM base LEFT JOIN batch ON base.cod = batch.cod AND base.an = 1996"""))
 def layered_year(spark: SparkSession, sf: str) -> DataFrame:
     """All years stored; one of them updated from a second source and written back."""
-    path = _scratch(spark, "layers")
+    path = shared_folder(spark, "layers")
     stored_rows(spark, sf).withColumnRenamed("cod", "cod_candidat").write.partitionBy("an").parquet(path)
     batch = update_batch(spark, sf).withColumnRenamed("cod", "cod_candidat").withColumn("an", F.lit(1996))
     loads.apply_batch(spark, batch, path, 1996, update=True, order=_BATCH_ORDER)
@@ -250,7 +242,7 @@ SELECT set_no, page_no, row_no, crt, txt FROM (
     'a "' || o_orderpriority || '", ' || chr(10) || 'b' AS txt FROM orders WHERE o_orderkey % 997 <> 0)""")
 def csv_records(spark: SparkSession, sf: str) -> DataFrame:
     """Rows written as headed CSV in page order, with quotes and line breaks, and read back."""
-    path = _scratch(spark, "csv")
+    path = shared_folder(spark, "csv")
     text = F.concat(F.lit('a "'), "value", F.lit('", \nb'))
     ordered = views.numbered_rows(spark, sf).withColumn("txt", text).drop("value")
     tables.write_csv(ordered, path, ["set_no", "page_no", "row_no"], drop_order=False)
@@ -261,7 +253,7 @@ def csv_records(spark: SparkSession, sf: str) -> DataFrame:
 SELECT cast(c_custkey AS string) AS id, cast(c_nationkey AS string) AS nation, c_mktsegment AS segment FROM customer""")
 def json_records(spark: SparkSession, sf: str) -> DataFrame:
     """Rows written as JSON and read back as strings."""
-    path = _scratch(spark, "json")
+    path = shared_folder(spark, "json")
     rows = views.table(spark, sf, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment")
     )
@@ -274,7 +266,7 @@ SELECT o_orderkey::double AS nr, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice
   ELSE ' ' || o_orderpriority || ' ' END), '') AS name FROM orders""")
 def typed_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Headerless CSV read by a typed layout: numbers or null, trimmed text or null."""
-    path, key = _scratch(spark, "typed"), F.col("o_orderkey")
+    path, key = shared_folder(spark, "typed"), F.col("o_orderkey")
     price = F.when(key % 5 != 0, F.col("o_totalprice").cast("string")).otherwise("n/a")
     name = F.when(key % 7 == 0, "  ").otherwise(F.concat(F.lit(" "), "o_orderpriority", F.lit(" ")))
     views.table(spark, sf, "orders").select(key, price, name).write.options(

@@ -11,31 +11,28 @@ most one key and each key at most one code:
 This is what walking over the keys one by one, each taking its nearest free code, gives for
 the order in which our rounds settle them, but it does not depend on how rows are spread.
 
-Finding near pairs:
-
-* Up to two tenths of the key length, k edits leave at least one of any k+1 disjoint pieces of
-  the key untouched. Keys are cut into three-letter pieces, the k+1 rarest are looked up among
-  the pieces of the aliases at about the same place, and only those pairs are compared.
-* Beyond that no such filter is selective. What is still unmatched is compared in tiles (a
-  bounded number of keys against a bounded block of codes), so a county of any size spreads
-  over many tasks, and each tile passes on only its nearest few codes per key. A key that sees
-  all its listed codes taken is looked up again among the codes still free, so the list length
-  never changes the result.
+At four tenths of the length no piece of a key need be left whole, so there is nothing to join
+near names on but the county. Distinct keys are therefore compared with distinct aliases in
+tiles: a bounded number of keys against a bounded block of aliases. A county of any size
+spreads over many tasks, no task holds a county, and no pair leaves its tile unless it is near:
+a tile passes on the nearest few codes per key. Keys whose listed codes are all taken by others
+are looked up again among the free ones, so the length of the lists never changes the result.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.functions import rules
+from gradeloom.functions.distance import edit_distances
 from gradeloom.functions.names import county_of_id, match_key
 from gradeloom.session import cut_lineage
 
-PIECE = 3
-PIECE_TIERS = 2
-BLOCK_CODES = 256
-TILE_KEYS = 4096
+BLOCK_ALIASES = 256
+TILE_KEYS = 1024
 LISTED_CODES = 32
 
 KEY = ["county", "key"]
@@ -47,10 +44,16 @@ def max_edits(key: Column | str, tenths: int) -> Column:
     return F.floor(length * tenths / 10).cast("int")
 
 
+def _key(name: str, county: str) -> Column:
+    """Match key where neither part is null. Declared non-null, so that no null check makes
+    Spark work it out a second time below a join."""
+    return F.coalesce(match_key(name, county), F.lit(""))
+
+
 def source_keys(schools: DataFrame, name: str, county: str) -> DataFrame:
     """Distinct match keys of school names. Names or counties that are null give none."""
-    keys = schools.select(F.col(county).alias("county"), match_key(name, county).alias("key"))
-    return keys.dropna().distinct()
+    named = schools.dropna(subset=[name, county])
+    return named.select(F.col(county).alias("county"), _key(name, county).alias("key")).distinct()
 
 
 def match_targets(institutions: DataFrame, registry: DataFrame | None = None, high_school: bool = True) -> DataFrame:
@@ -60,21 +63,23 @@ def match_targets(institutions: DataFrame, registry: DataFrame | None = None, hi
     same code; in high-school mode only of schools with a high-school level.
     """
     own = (
-        institutions.select(
+        institutions.dropna(subset=["nume", "cod_judet", "cod_siiir"])
+        .select(
             F.col("cod_judet").alias("county"), F.col("cod_siiir").alias("code"),
-            match_key("nume", "cod_judet").alias("alias"),
+            _key("nume", "cod_judet").alias("alias"),
         )
-        .dropna().groupBy(*CODE).agg(F.max("alias").alias("alias"))
+        .groupBy(*CODE).agg(F.max("alias").alias("alias"))
     )
     targets = own.withColumn("is_primary", F.lit(True))
     if registry is None:
         return targets
     if high_school:
         registry = registry.filter(F.col("stare_liceal").isNotNull())
-    official = registry.select(
+    named = registry.dropna(subset=["denumire_lunga_unitate", "judet_pj", "cod_siiir_unitate"])
+    official = named.select(
         F.col("judet_pj").alias("county"), F.col("cod_siiir_unitate").alias("code"),
-        match_key("denumire_lunga_unitate", "judet_pj").alias("alias"),
-    ).dropna()
+        _key("denumire_lunga_unitate", "judet_pj").alias("alias"),
+    )
     extra = official.distinct().join(own.select(*CODE), CODE, "left_semi")
     return targets.unionByName(extra.withColumn("is_primary", F.lit(False)))
 
@@ -88,109 +93,89 @@ def exact_matches(keys: DataFrame, targets: DataFrame) -> DataFrame:
     return keys.join(own, KEY).select(*KEY, "code")
 
 
-# -- near pairs ---------------------------------------------------------------
+# -- near codes ---------------------------------------------------------------
 
 
-def _pieces_of_keys(keys: DataFrame, tenths: int) -> DataFrame:
-    """Disjoint pieces of each key that has more of them than edits are allowed."""
-    starts = F.sequence(F.lit(0), F.floor(F.length("key") / PIECE).cast("int") - 1)
-    bounded = keys.withColumn("k", max_edits("key", tenths))
-    bounded = bounded.filter(F.floor(F.length("key") / PIECE) > F.col("k"))
-    return bounded.select(*KEY, "k", F.explode(starts).alias("i")).select(
-        *KEY, "k", (F.col("i") * PIECE).alias("at"),
-        F.substring("key", F.col("i") * PIECE + 1, F.lit(PIECE)).alias("piece"),
+def _tile_sizes(keys: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Per county, over how many key tiles and alias blocks its comparison is spread."""
+    n_alias = aliases.groupBy("county").agg(F.count("*").alias("n_alias"))
+    n_key = keys.groupBy("county").agg(F.count("*").alias("n_key"))
+    return n_alias.join(n_key, "county").select(
+        "county",
+        F.ceil(F.col("n_alias") / BLOCK_ALIASES).cast("int").alias("blocks"),
+        F.ceil(F.col("n_key") / TILE_KEYS).cast("int").alias("tiles"),
     )
 
 
-def _pieces_of_aliases(aliases: DataFrame) -> DataFrame:
-    long = aliases.filter(F.length("alias") >= PIECE)
-    starts = F.sequence(F.lit(0), F.length("alias") - PIECE)
-    return long.select("county", "alias", F.explode(starts).alias("at")).select(
-        "county", "alias", "at", F.substring("alias", F.col("at") + 1, F.lit(PIECE)).alias("piece")
-    )
-
+def _compare_tile(limit: int):
+    """Function over the keys and aliases of one tile: the near pairs that can be listed."""
 
-def _short_pairs(keys: DataFrame, aliases: DataFrame, tenths: int) -> DataFrame:
-    """Keys too short to be cut: at most five characters, so few can exist per county."""
-    short = keys.withColumn("k", max_edits("key", tenths))
-    short = short.filter(F.floor(F.length("key") / PIECE) <= F.col("k"))
-    near = aliases.filter(F.length("alias") <= 2 * PIECE + 1)
-    return short.join(near, "county").select(*KEY, "k", "alias")
+    def compare(keys: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
+        if keys.empty or names.empty:
+            return pd.DataFrame({"county": [], "key": [], "dist": [], "codes": []})
+        dist = edit_distances(keys["key"].tolist(), names["alias"].tolist())
+        place = min(limit, dist.shape[1] - 1)
+        reach = np.minimum(keys["k"].to_numpy(), np.partition(dist, place, axis=1)[:, place])
+        row, column = np.nonzero(dist <= reach[:, None])
+        return pd.DataFrame({
+            "county": keys["county"].to_numpy()[row], "key": keys["key"].to_numpy()[row],
+            "dist": dist[row, column].astype("int32"), "codes": names["codes"].to_numpy()[column],
+        })
 
-
-def near_pairs(keys: DataFrame, targets: DataFrame, tenths: int) -> DataFrame:
-    """All ``(county, key, code, dist)`` within ``tenths`` (at most two) of the key length."""
-    if tenths > PIECE_TIERS:
-        raise ValueError("pieces only work up to two tenths")
-    if tenths == 0:
-        return keys.join(targets.select(*CODE, F.col("alias").alias("key")).distinct(), KEY).select(
-            *KEY, "code", F.lit(0).alias("dist")
-        )
-    aliases = targets.select("county", "alias").distinct()
-    there = _pieces_of_aliases(aliases)
-    frequency = there.groupBy("county", "piece").agg(F.count("*").alias("often"))
-    here = _pieces_of_keys(keys, tenths).join(frequency, ["county", "piece"], "left")
-    rarest = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.coalesce("often", F.lit(0)), "at"))
-    probes = here.withColumn("r", rarest).filter("r <= k + 1 and often is not null")
-    meets = (F.abs(F.col("s.at") - F.col("t.at")) <= F.col("s.k")) & (
-        F.abs(F.length("s.key") - F.length("t.alias")) <= F.col("s.k")
-    )
-    same_piece = (F.col("s.county") == F.col("t.county")) & (F.col("s.piece") == F.col("t.piece"))
-    candidates = (
-        probes.alias("s").join(there.alias("t"), same_piece & meets)
-        .select("s.county", "s.key", "s.k", "t.alias").distinct()
-        .unionByName(_short_pairs(keys, aliases, tenths))
-    )
-    compared = candidates.withColumn("dist", F.expr("levenshtein(key, alias, k)")).filter("dist >= 0")
-    return (
-        compared.join(targets.select("county", "code", "alias"), ["county", "alias"])
-        .groupBy(*KEY, "code").agg(F.min("dist").alias("dist"))
-    )
+    return compare
 
 
 def nearest_codes(keys: DataFrame, targets: DataFrame, tenths: int, limit: int) -> DataFrame:
     """The nearest codes of each key within ``tenths`` of its length.
 
-    Up to ``limit`` rows per key, by distance and then code; ``cut`` is true on every row of a
-    key for which more exist.
+    The first ``limit`` pairs per key, by distance and then code, reduced to one row per code;
+    ``cut`` is true on every row of a key for which more pairs exist.
     """
-    codes = targets.groupBy(*CODE).agg(F.collect_set("alias").alias("names"))
-    sizes = codes.groupBy("county").agg(F.count("*").alias("n_code"))
-    key_sizes = keys.groupBy("county").agg(F.count("*").alias("n_key"))
-    grid = sizes.join(key_sizes, "county").select(
-        "county",
-        F.ceil(F.col("n_code") / BLOCK_CODES).cast("int").alias("blocks"),
-        F.ceil(F.col("n_key") / TILE_KEYS).cast("int").alias("tiles"),
+    # Of one alias no more than the first codes can be listed, and one more shows the cut.
+    spelt = Window.partitionBy("county", "alias").orderBy("code")
+    named = targets.select(*CODE, "alias").distinct().withColumn("nth", F.row_number().over(spelt))
+    aliases = (
+        named.filter(F.col("nth") <= limit + 1)
+        .groupBy("county", "alias").agg(F.array_sort(F.collect_list("code")).alias("codes"))
     )
+    grid = _tile_sizes(keys, aliases)
     blocks = (
-        codes.join(grid, "county")
-        .withColumn("block", F.pmod(F.xxhash64("code"), F.col("blocks")).cast("int"))
-        .groupBy("county", "block", "tiles")
-        .agg(F.collect_list(F.struct("code", "names")).alias("codes"))
-        .select("county", "block", "codes", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
+        aliases.join(grid, "county")
+        .withColumn("block", F.pmod(F.xxhash64("alias"), F.col("blocks")).cast("int"))
+        .withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .select("county", "block", "tile", "alias", "codes")
     )
     tiles = (
         keys.join(grid, "county")
         .withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(*KEY, "tile", "block", max_edits("key", tenths).alias("k"))
+        .select("county", "block", "tile", "key", max_edits("key", tenths).alias("k"))
     )
-    near = """
-        array_sort(filter(transform(codes, c -> named_struct(
-            'dist', array_min(filter(transform(c.names, n -> levenshtein(key, n, k)), d -> d >= 0)),
-            'code', c.code)), p -> p.dist is not null))
-    """
-    found = tiles.join(blocks, ["county", "block", "tile"]).select(*KEY, F.expr(near).alias("near"))
-    found = found.filter(F.size("near") > 0)
-    # A code lives in one block, so the nearest of all are among the nearest of each block.
-    best = found.select(
-        *KEY, (F.size("near") > limit).alias("more"), F.explode(F.slice("near", 1, limit)).alias("p")
-    ).select(*KEY, "p.code", "p.dist", "more")
+    # Comparing costs far more than the rows weigh, so the number of tasks is given: left to
+    # itself Spark would merge the small shuffle into a few of them.
+    tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = ["county", "block", "tile"]
+    near = (
+        tiles.repartition(tasks, *spread).groupBy(*spread)
+        .cogroup(blocks.repartition(tasks, *spread).groupBy(*spread))
+        .applyInPandas(_compare_tile(limit), "county string, key string, dist int, codes array<string>")
+    )
+    listed = near.select(*KEY, "dist", F.explode("codes").alias("code"))
     per_key = Window.partitionBy(*KEY)
     place = F.row_number().over(per_key.orderBy("dist", "code"))
-    listed = best.withColumn("place", place).filter(F.col("place") <= limit + 1)
-    cut = F.max((F.col("place") > limit) | F.col("more")).over(per_key)
-    return listed.withColumn("cut", cut).filter(F.col("place") <= limit).select(*KEY, "code", "dist", "cut")
+    first = listed.withColumn("place", place).filter(F.col("place") <= limit + 1)
+    return (
+        first.withColumn("cut", F.max("place").over(per_key) > limit)
+        .filter(F.col("place") <= limit)
+        .groupBy(*KEY, "code")
+        .agg(F.min("dist").alias("dist"), F.bool_or("cut").alias("cut"))
+    )
+
+
+def equal_codes(keys: DataFrame, targets: DataFrame) -> DataFrame:
+    """Codes with an alias equal to the key; the complete list at distance zero."""
+    named = targets.select(*CODE, F.col("alias").alias("key")).distinct()
+    return keys.join(named, KEY).select(*KEY, "code", F.lit(0).alias("dist"), F.lit(False).alias("cut"))
 
 
 # -- assignment ---------------------------------------------------------------
@@ -208,67 +193,39 @@ def _still_live(live: DataFrame, won: DataFrame) -> DataFrame:
     return live.join(won.select(*KEY), KEY, "left_anti").join(won.select(*CODE), CODE, "left_anti")
 
 
-def _assign_complete(pairs: DataFrame, tiers: list[int]) -> list[DataFrame]:
-    """Rounds over a complete list of pairs."""
-    live, settled = cut_lineage(pairs), []
-    for tenths in tiers:
-        while True:
-            won = cut_lineage(_settle(live, tenths).withColumn("tier", F.lit(tenths)))
-            if won.isEmpty():
-                break
-            settled.append(won)
-            live = cut_lineage(_still_live(live, won))
-    return settled
-
-
-def _assign_listed(keys: DataFrame, targets: DataFrame, tiers: list[int], limit: int) -> list[DataFrame]:
-    """Rounds over listed pairs; keys whose cut list ran dry are looked up again before the
-    next round, so every key always asks for its true nearest free code."""
-    widest = max(tiers)
-    live, settled = cut_lineage(nearest_codes(keys, targets, widest, limit)), []
-    for tenths in tiers:
-        while True:
-            won = cut_lineage(_settle(live, tenths).withColumn("tier", F.lit(tenths)))
-            if won.isEmpty():
-                break
-            settled.append(won)
-            free = _still_live(live, won)
-            targets = cut_lineage(targets.join(won.select(*CODE), CODE, "left_anti"))
-            waiting = live.filter("cut").select(*KEY).distinct().join(won.select(*KEY), KEY, "left_anti")
-            dry = cut_lineage(waiting.join(free.select(*KEY), KEY, "left_anti"))
-            if not dry.isEmpty():
-                free = free.unionByName(nearest_codes(dry, targets, widest, limit))
-            live = cut_lineage(free)
-    return settled
-
-
-def _union(parts: list[DataFrame], empty: DataFrame) -> DataFrame:
-    merged = empty
-    for part in parts:
-        merged = merged.unionByName(part)
-    return merged
-
-
 def fuzzy_matches(
     keys: DataFrame, targets: DataFrame, tiers: list[int] = rules.HIGH_SCHOOL_TIERS, limit: int = LISTED_CODES
 ) -> DataFrame:
     """One-to-one ``(county, key, code, dist, tier)`` for keys and codes still unmatched.
 
-    Runs jobs: each round is written to the checkpoint folder.
+    Runs jobs: the pairs that are left after each round are written to the shared folder.
     """
-    keys, targets = cut_lineage(keys), cut_lineage(targets.select(*CODE, "alias").distinct())
-    empty = keys.filter(F.lit(False)).select(
+    keys, targets = cut_lineage(keys), cut_lineage(targets)
+    widest = max(tiers)
+
+    def look_up(some_keys: DataFrame, free: DataFrame) -> DataFrame:
+        return nearest_codes(some_keys, free, widest, limit) if widest else equal_codes(some_keys, free)
+
+    live = cut_lineage(look_up(keys, targets))
+    lists_cut = not live.filter("cut").isEmpty()
+    settled = keys.filter(F.lit(False)).select(
         *KEY, F.lit("").alias("code"), F.lit(0).alias("dist"), F.lit(0).alias("tier")
     )
-    near = [t for t in tiers if t <= PIECE_TIERS]
-    far = [t for t in tiers if t > PIECE_TIERS]
-    settled = _assign_complete(near_pairs(keys, targets, max(near)), near) if near else []
-    if far:
-        done = _union(settled, empty)
-        keys = cut_lineage(keys.join(done, KEY, "left_anti"))
-        targets = cut_lineage(targets.join(done, CODE, "left_anti"))
-        settled += _assign_listed(keys, targets, far, limit)
-    return cut_lineage(_union(settled, empty))
+    for tenths in tiers:
+        while True:
+            won = cut_lineage(_settle(live, tenths).withColumn("tier", F.lit(tenths)))
+            if won.isEmpty():
+                break
+            settled = settled.unionByName(won)
+            left = _still_live(live, won)
+            if lists_cut:
+                # Every key asks for its true nearest free code: refill the lists that ran dry.
+                waiting = live.filter("cut").select(*KEY).distinct().join(won, KEY, "left_anti")
+                dry = cut_lineage(waiting.join(left, KEY, "left_anti"))
+                if not dry.isEmpty():
+                    left = left.unionByName(look_up(dry, targets.join(settled, CODE, "left_anti")))
+            live = cut_lineage(left)
+    return cut_lineage(settled)
 
 
 def match_schools(

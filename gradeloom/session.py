@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,7 +38,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(shared)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """Path of a new folder beside the checkpoints, where every executor can reach it."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise in the reliable checkpoint folder and forget how it was computed."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to the shared folder and go on from there.
+
+    A written table is worked out once, survives lost executors, and tells the optimizer its
+    size, so that joins with a small one need no shuffle.
+    """
+    path = shared_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
