@@ -68,14 +68,13 @@ def bac_rows(raw: DataFrame, mapping: dict[str, str], year: int | Column, keep:
     if "promotie" in mapping:
         earlier = labels.earlier_cohort("promotie", year)
     else:
-        earlier = labels.is_yes("promotie_anterioara")
+        earlier = F.coalesce(labels.is_yes("promotie_anterioara"), F.lit(False))
     df = df.withColumns({
         "an": _year(year),
         "_checks": F.struct(
             ((labels.parse_sex(sex).isNull()) if "sex" in mapping else F.lit(False)).alias("sex"),
             codes.bad_school_code(code).alias("code"),
             labels.result_label(label).isNull().alias("label"),
-            earlier.isNull().alias("cohort"),
         ),
         "cod_candidat": codes.candidate_number("cod_candidat"),
         "sex": labels.parse_sex(sex),
@@ -99,7 +98,6 @@ def bac_rows(raw: DataFrame, mapping: dict[str, str], year: int | Column, keep:
             "line": _bad_line(df),
             "candidate": F.coalesce(F.col("cod_candidat"), F.lit("")) == "",
             "sex": F.col("_checks.sex"),
-            "cohort": F.col("_checks.cohort"),
             "school_code": F.col("_checks.code"),
             "average": grades.averages_disagree("medie", "_mean"),
             "label": F.col("_checks.label"),
@@ -115,7 +113,11 @@ def en_rows(raw: DataFrame, mapping: dict[str, str], year: int | Column, keep: l
     fields = contracts.EN_REQUIRED + contracts.EN_OPTIONAL
     df = contracts.project(raw, mapping, fields, _kept(raw, keep))
     sex, code = F.col("sex"), F.col("unitate_siiir")
-    school, track = F.col("repartizat_liceu_nume"), F.col("repartizat_specializare")
+    # An empty cell may be read as null; a field the source does not have stays null.
+    school, track = [
+        F.coalesce(F.col(f), F.lit("")) if f in mapping else F.col(f)
+        for f in ("repartizat_liceu_nume", "repartizat_specializare")
+    ]
     placed = ~placement.is_unplaced(school, track)
     df = df.withColumns({
         "an": _year(year),

@@ -71,7 +71,8 @@ def write_csv(df: DataFrame, path: str, order: list[str], drop_order: bool = Tru
     rows = df.orderBy(*order)
     if drop_order:
         rows = rows.drop(*order)
-    rows.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+    exact = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.mode("overwrite").options(header=True, quote='"', escape='"', **exact).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
