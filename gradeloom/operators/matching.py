@@ -31,8 +31,8 @@ from gradeloom.functions.distance import edit_distances
 from gradeloom.functions.names import county_of_id, match_key
 from gradeloom.session import cut_lineage
 
-BLOCK_ALIASES = 256
-TILE_KEYS = 1024
+BLOCK_ALIASES = 1024
+TILE_KEYS = 4096
 LISTED_CODES = 32
 
 KEY = ["county", "key"]

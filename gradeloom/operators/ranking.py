@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gradeloom.functions import rules
 from gradeloom.functions.grades import hundredths
+from gradeloom.session import cut_lineage
 
 
 def school_averages(facts: DataFrame, school: str, grade: str) -> DataFrame:
@@ -26,8 +27,10 @@ def rank_by_average(averages: DataFrame) -> DataFrame:
     No task sees all schools of a year: averages lie between 1 and 10, so the schools fall into
     at most 901 steps of a hundredth. Positions are counted within a step and shifted by the
     number of schools in the steps above, a table of at most 901 rows per year.
+
+    The averages are used twice; they are fixed first, so that the facts are read once.
     """
-    stepped = averages.withColumn("step", F.floor(F.col("medie") * 100).cast("int"))
+    stepped = cut_lineage(averages).withColumn("step", F.floor(F.col("medie") * 100).cast("int"))
     sizes = stepped.groupBy("an", "step").agg(F.count("*").alias("size"))
     above = Window.partitionBy("an").orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("an", "step", F.coalesce(F.sum("size").over(above), F.lit(0)).alias("above"))

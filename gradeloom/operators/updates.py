@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradeloom.operators.dedupe import duplicate_keys, keep_first
+from gradeloom.session import cut_lineage
 
 
 class DuplicateKeyError(ValueError):
@@ -33,6 +34,9 @@ def update_by_key(
     candidates = [c for c in (columns or batch.columns) if c in base.columns and c not in key]
     if order is not None:
         batch = keep_first(batch, key, order)
+        if mode == "column":
+            # Needed twice, and smaller than what it was picked from.
+            batch = cut_lineage(batch)
     elif not duplicate_keys(batch, key).isEmpty():
         raise DuplicateKeyError("the batch repeats a key; give an order to pick one")
     changed = active_columns(batch, candidates) if mode == "column" else candidates
