@@ -261,6 +261,23 @@ def json_records(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_records(spark, path, "json", lines=True)
 
 
+@query("merged_records", """
+SELECT cast(c_custkey AS string) AS id, c_name AS name, c_mktsegment AS segment, cast(NULL AS varchar) AS balance, 'a' AS source FROM customer
+UNION ALL SELECT cast(s_suppkey AS string), s_name, NULL, cast(cast(floor(s_acctbal) AS bigint) AS string), 'b' FROM supplier""")
+def merged_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Two sets of files with different headers, read as one, with the file each row came from."""
+    path = shared_folder(spark, "sets")
+    customer, supplier = views.table(spark, sf, "customer"), views.table(spark, sf, "supplier")
+    one = customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    two = supplier.select(
+        F.floor("s_acctbal").alias("balance"), F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")
+    )
+    one.write.csv(f"{path}/a", header=True)
+    two.write.csv(f"{path}/b", header=True)
+    merged = readers.read_many(spark, [f"{path}/a", f"{path}/b"]).drop(readers.BAD_LINE)
+    return merged.withColumn("source", F.element_at(F.split("source_file", "/"), -2)).drop("source_file")
+
+
 @query("typed_csv", """
 SELECT o_orderkey::double AS nr, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS price, nullif(trim(CASE WHEN o_orderkey % 7 = 0 THEN '  '
   ELSE ' ' || o_orderpriority || ' ' END), '') AS name FROM orders""")
