@@ -21,16 +21,23 @@ are looked up again among the free ones, so the length of the lists never change
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeloom.functions import rules
+from gradeloom.functions import distance, rules
 from gradeloom.functions.distance import edit_distances
 from gradeloom.functions.names import county_of_id, match_key
 from gradeloom.session import cut_lineage
 
+# The tile function travels with its plan: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(distance)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_ALIASES = 1024
 TILE_KEYS = 4096
 LISTED_CODES = 32

@@ -1,6 +1,9 @@
 import random
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from gradeloom.operators import matching
@@ -130,3 +133,14 @@ def test_keys_ignore_nulls_and_repeat(spark):
     assert matching.unmatched_schools(
         schools, "n", "c", spark.createDataFrame([], "county string, key string")
     ).select(F.count("*")).first()[0] == 1
+
+
+def test_tile_function_needs_no_package_on_executors(tmp_path):
+    (tmp_path / "f").write_bytes(cloudpickle.dumps(matching._compare_tile(3)))
+    code = (
+        "import pickle, pandas as pd; from pyspark import cloudpickle; f = pickle.load(open('f', 'rb'));"
+        "k = pd.DataFrame({'county': ['A'], 'key': ['ABC'], 'k': [1]}); n = pd.DataFrame({'alias': ['ABD', 'X'], 'codes': [['1'], ['2']]});"
+        "print(f(k, n)['dist'].tolist())"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={"PATH": ""})
+    assert done.stdout.strip() == "[1]", done.stderr
