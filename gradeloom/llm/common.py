@@ -24,7 +24,7 @@ def ascii_lower(text: Column | str) -> Column:
     return F.translate(text, upper, upper.lower())
 
 
-def salted_left_join(rows: DataFrame, table: DataFrame, key: str, spread: str) -> DataFrame:
+def salted_left_join(rows: DataFrame, table: DataFrame, key: str | list[str], spread: str) -> DataFrame:
     """Left join on ``key`` whose hot keys are spread by the hash of ``spread`` over SALTS reducers.
 
     ``table`` has at most one row for a key and is small beside ``rows``; each of its rows is sent
@@ -32,7 +32,8 @@ def salted_left_join(rows: DataFrame, table: DataFrame, key: str, spread: str) -
     """
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
     spread_out = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(spread_out, [key, "_salt"], "left").drop("_salt")
+    keys = [key] if isinstance(key, str) else key
+    return salted.join(spread_out, [*keys, "_salt"], "left").drop("_salt")
 
 
 def keep_listed(docs: DataFrame, kept: DataFrame) -> DataFrame:

@@ -2,19 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gradeloom.llm import simhash
+from gradeloom.llm import exact_dedup, simhash
 from gradeloom.llm.common import documents
 
 
+#: The rows of documents that count as a new batch; the others are the snapshot they meet.
+def new_batch() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
+
+
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(documents(spark, sf_dir), new_batch())
+
+
+OP2_SQL = """
+WITH rows AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+numbered AS (
+    SELECT doc_id, sha256(low) AS text_sha256, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+        row_number() OVER (PARTITION BY low, doc_id) AS number
+    FROM rows WINDOW same AS (PARTITION BY low)
+)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND number = 1 AS kept, text_sha256 FROM numbered
+"""
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
 QUERIES = {
+    "op2_exact_dedup": op2_exact_dedup,
     "op9_simhash": op9_simhash,
 }
 
 #: DuckDB SQL for the rows of a query, where SQL can say them.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_exact_dedup": OP2_SQL,
+}
