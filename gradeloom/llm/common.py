@@ -36,17 +36,22 @@ def salted_left_join(rows: DataFrame, table: DataFrame, key: str | list[str], sp
     return salted.join(spread_out, [*keys, "_salt"], "left").drop("_salt")
 
 
-def keep_listed(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is listed in ``kept``, one for each doc_id, and rows without one.
+def one_row_each(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """A row of ``docs`` as ``_row`` for each doc_id of ``wanted``, beside the columns of ``wanted``.
 
-    A doc_id listed once can only have one row. Rows of a doc_id listed more often are reduced to
-    one by their values; no other row is grouped.
+    ``wanted`` has a row for each row of docs it is about, the same for every row of a doc_id; null
+    ids are left out. Only doc_ids with several rows are grouped, and give their smallest row.
     """
-    often = kept.groupBy("doc_id").agg((F.count("*") > 1).alias("_often"))
-    columns = docs.columns
-    row = docs.select("doc_id", F.struct(*columns).alias("_row"))
-    found = row.join(often, "doc_id")
-    once = found.filter("not _often").select("_row")
-    repeated = found.filter("_often").groupBy("doc_id").agg(F.min("_row").alias("_row")).select("_row")
-    nameless = row.filter("doc_id is null").select("_row")
-    return once.union(repeated).union(nameless).select("_row.*")
+    columns = [c for c in wanted.columns if c != "doc_id"]
+    first = [F.first(c).alias(c) for c in columns]
+    listed = wanted.groupBy("doc_id").agg(*first, (F.count("*") > 1).alias("_often"))
+    found = docs.select("doc_id", F.struct(*docs.columns).alias("_row")).join(listed, "doc_id")
+    once = found.filter("not _often").select("_row", *columns)
+    several = found.filter("_often").groupBy("doc_id").agg(F.min("_row").alias("_row"), *first).select("_row", *columns)
+    return once.union(several)
+
+
+def keep_listed(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is listed in ``kept``, one for each doc_id, and all without one."""
+    nameless = docs.filter("doc_id is null")
+    return one_row_each(docs, kept.select("doc_id")).select("_row.*").union(nameless)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import exact_dedup, simhash
+from gradeloom.llm import exact_dedup, langid, mixing, simhash
 from gradeloom.llm.common import documents
 
 
@@ -29,12 +29,23 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND numb
 """
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return langid.identify(docs, langid.learn(docs, ~langid.held_out()))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(documents(spark, sf_dir))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op6_langid": op6_langid,
+    "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
 }
 
