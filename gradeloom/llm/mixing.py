@@ -157,7 +157,7 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     taken = mixed(docs).groupBy("doc_id").agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size")).filter("_taken > 0")
     found = one_row_each(docs, taken)
     copies = F.expr("sequence(1L, ceil(_taken / _size))")
-    each = found.select("_row", "_size", F.least("_size", F.col("_taken") - (F.explode(copies) - 1) * F.col("_size")).alias("_words"))
+    each = found.withColumn("_copy", F.explode(copies)).withColumn("_words", F.least("_size", F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")))
     words = F.filter(F.split("_row.text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
     text = F.when(F.col("_words") < F.col("_size"), F.array_join(F.slice(words, F.lit(1), F.col("_words").cast("int")), " ")).otherwise(F.col("_row.text"))
     return each.withColumn("_text", text).select(*[F.col("_text").alias("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import exact_dedup, langid, mixing, simhash
+from gradeloom.llm import bpe, exact_dedup, langid, mixing, simhash
 from gradeloom.llm.common import documents
 
 
@@ -29,6 +29,17 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND numb
 """
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trips(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return langid.identify(docs, langid.learn(docs, ~langid.held_out()))
@@ -44,6 +55,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_bpe": op3_bpe,
     "op6_langid": op6_langid,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
