@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from gradeloom.llm.common import id_and_text
@@ -162,6 +163,14 @@ class Encoder:
         counts = np.cumsum([0, *map(len, chunks)])
         return self.ids[gathered(self.starts[codes], lengths)], np.diff(ends[counts])
 
+    def each(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:
+        """Ids of each text, and the text decoded from them."""
+        for a, b in in_goes(texts):
+            ids, lengths = self.encode(texts[a:b])
+            ends = np.cumsum(lengths)
+            for start, end in zip((ends - lengths).tolist(), ends.tolist(), strict=True):
+                yield ids[start:end], self.vocabulary.decode(ids[start:end]).decode("utf-8", errors="replace")
+
 
 def in_goes(texts: list[str], go: int = GO) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``go`` characters; a longer text is a range of its own."""
@@ -183,22 +192,17 @@ def round_trips(docs: DataFrame, vocabulary: str) -> DataFrame:
     no ids. Repeated rows stay rows, an empty table gives none, and other columns are not read. The
     driver reads the file and sends its content, a few MB, to the executors.
     """
-    with open(vocabulary, "rb") as file:
-        content = docs.sparkSession.sparkContext.broadcast(file.read())
+    content = _content(docs, vocabulary)
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in found:
             encoder = encoder or Encoder(Vocabulary(content.value))
-            texts = batch.column("text").to_pylist()
             counts, id_digests, text_digests = [], [], []
-            for a, b in in_goes(texts):
-                ids, lengths = encoder.encode(texts[a:b])
-                for own in np.split(ids, np.cumsum(lengths)[:-1]):
-                    decoded = encoder.vocabulary.decode(own).decode("utf-8", errors="replace")
-                    id_digests.append(hashlib.sha256(own.astype("<u4").tobytes()).hexdigest())
-                    text_digests.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
-                counts += lengths.tolist()
+            for own, decoded in encoder.each(batch.column("text").to_pylist()):
+                counts.append(len(own))
+                id_digests.append(hashlib.sha256(own.astype("<u4").tobytes()).hexdigest())
+                text_digests.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
@@ -206,3 +210,34 @@ def round_trips(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return id_and_text(docs).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def encoded(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """``doc_id``, ``source``, ``lang``, the ``ids`` of every whole text, and whether they decode to it (``exact``).
+
+    The same rules as in ``round_trips``.
+    """
+    content = _content(docs, vocabulary)
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = None
+        for batch in found:
+            encoder = encoder or Encoder(Vocabulary(content.value))
+            texts = batch.column("text").to_pylist()
+            both = list(encoder.each(texts))
+            lengths = np.cumsum([0, *(len(own) for own, _ in both)]).astype(np.int32)
+            flat = np.concatenate([own for own, _ in both] or [np.zeros(0)]).astype(np.int32)
+            exact = [decoded == text for text, (_, decoded) in zip(texts, both, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", "source", "lang")), pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat)), pa.array(exact, pa.bool_())],
+                names=["doc_id", "source", "lang", "ids", "exact"],
+            )
+
+    rows = id_and_text(docs, "source", "lang")
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("doc_id", "source", "lang"))
+    return rows.mapInArrow(run, f"{kinds}, ids array<int>, exact boolean")
+
+
+def _content(docs: DataFrame, vocabulary: str) -> Broadcast:
+    with open(vocabulary, "rb") as file:
+        return docs.sparkSession.sparkContext.broadcast(file.read())
