@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import bpe, exact_dedup, langid, mixing, simhash
+from gradeloom.llm import bpe, exact_dedup, langid, mixing, simhash, winnow
 from gradeloom.llm.common import documents
 
 
-#: The rows of documents that count as a new batch; the others are the snapshot they meet.
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.fingerprinted(documents(spark, sf_dir))
+
+
 def new_batch() -> Column:
+    """The rows of documents that count as a new batch; the others are the snapshot they meet."""
     return F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
 
 
@@ -54,6 +58,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_bpe": op3_bpe,
     "op6_langid": op6_langid,
