@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import bpe, exact_dedup, langid, mixing, simhash, winnow
+from gradeloom.llm import bpe, exact_dedup, langid, mixing, secret_scan, simhash, winnow
 from gradeloom.llm.common import documents
 
 
@@ -44,6 +44,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scanned(documents(spark, sf_dir))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return langid.identify(docs, langid.learn(docs, ~langid.held_out()))
@@ -61,6 +65,7 @@ QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_bpe": op3_bpe,
+    "op4_secrets": op4_secrets,
     "op6_langid": op6_langid,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
