@@ -120,10 +120,11 @@ class Encoder:
         self.vocabulary = vocabulary
         marks = vocabulary.special
         self.split = re.compile("(" + "|".join(re.escape(m) for m in sorted(marks, key=len, reverse=True)) + ")") if marks else None
+        self.known: dict[str, int] = {}
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = {}
         self.ids = np.zeros(0, dtype=np.int64)
         self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         for text, i in self.vocabulary.special.items():
@@ -134,10 +135,17 @@ class Encoder:
         self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(lengths) - lengths]
         self.ids, self.lengths = np.r_[self.ids, ids], np.r_[self.lengths, lengths]
 
+    def _parts(self, chunk: str) -> list[str]:
+        """What a chunk is split into, at least one part; the ids of the parts are those of the chunk."""
+        return WORD.findall(chunk)
+
+    def _ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self.vocabulary.encode_words([p.encode("utf-8") for p in parts])
+
     def _learn(self, chunks: list[str]) -> None:
-        parts = [WORD.findall(c) for c in chunks]
+        parts = [self._parts(c) for c in chunks]
         distinct = {w: n for n, w in enumerate(dict.fromkeys(w for p in parts for w in p))}
-        ids, lengths = self.vocabulary.encode_words([w.encode("utf-8") for w in distinct])
+        ids, lengths = self._ids(list(distinct))
         starts = np.cumsum(lengths) - lengths
         used = np.array([distinct[w] for p in parts for w in p], dtype=np.int64)
         total = np.add.reduceat(lengths[used], np.cumsum([0, *map(len, parts)])[:-1])

@@ -162,9 +162,10 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
                 found.append((m.start(), m.end(), "der"))
             elif _is_random(data):
                 found.append((m.start(), m.end(), "hexkey"))
+    whole = list(found)
     for m in ENCODED.finditer(text):
         run = m[0]
-        if ANY_HEX.fullmatch(run):
+        if ANY_HEX.fullmatch(run) or any(start <= m.start() < end for start, end, _ in whole):  # part of what was found
             continue
         data = from_base64(run)
         if data is None:
