@@ -13,6 +13,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gradeloom.llm.bpe import Encoder, in_goes
+from gradeloom.llm.bpe import Encoder, byte_letters, gathered, in_goes
 from gradeloom.llm.common import id_and_text
 from gradeloom.session import cut_lineage
 
@@ -31,19 +32,23 @@ SHARD_IDS = 1 << 20
 #: Symbols, ids and rules together; two bytes hold one.
 SYMBOLS = 1 << 16
 #: A pair gets a rule if it is found this often; and in a round, if it is at least one FRACTIONth as frequent as the first.
-LEAST = 8
-FRACTION = 4
+LEAST = 16
+FRACTION = 16
 _MAGIC = b"RPG1"
-_HEAD = struct.Struct("<4sIIIQI")
+_HEAD = "<4sIIIQI"
 _BLANKS = re.compile(r"[^\t-\r ]+")
-_WORD_AND_STOP = re.compile(r"(.*[A-Za-z])([.,]+)", re.DOTALL)
+#: Characters of Latin scripts that no normalisation joins and whose lower case is one character.
+_LATIN = re.compile(r"[\x21-\x7e\xa1-\xff]+")
+_LETTERS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")
+_WORD_AND_STOP = re.compile(r"(.*[a-z\xdf-\xf6\xf8-\xff])([.,]+)")
 
 
 class WordEncoder(Encoder):
     """Encodes with the tokenizers library, a chunk between blanks at a time, and remembers chunks.
 
     The tokenizer drops blanks, so the ids of a text are those of its chunks. Full stops and commas
-    after an ASCII letter are words of their own there, and case makes no difference to ASCII words.
+    after a letter are words of their own there, and case makes no difference. Words of Latin
+    letters go to the library's model directly, since nothing else would change or split them.
     """
 
     def __init__(self, content: bytes):
@@ -51,6 +56,10 @@ class WordEncoder(Encoder):
         self.tokenizer = Tokenizer.from_buffer(content)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        of_byte = {b: c for c, b in byte_letters().items()}
+        #: What the model sees of letters that are no ASCII: the letters that stand for their bytes.
+        self.letters = {c: "".join(of_byte[b] for b in chr(c).encode("utf-8")) for c in range(0xDF, 0x100)}
         self.known: dict[str, int] = {}
         self._forget()
 
@@ -63,7 +72,7 @@ class WordEncoder(Encoder):
         return _BLANKS.findall(text)
 
     def _parts(self, chunk: str) -> list[str]:
-        if not chunk.isascii() or "<|" in chunk:  # the marks of special ids are case-sensitive
+        if "<|" in chunk or not (chunk.isascii() or _LATIN.fullmatch(chunk)):  # the marks of special ids are case-sensitive
             return [chunk]
         low = chunk.lower()
         if low[-1] in ".,":
@@ -72,9 +81,14 @@ class WordEncoder(Encoder):
         return [low]
 
     def _ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        found = []
+        for part in parts:
+            if _LETTERS.fullmatch(part):  # one word of the model, normalised as it is
+                found.append([t.id for t in self.model.tokenize(part if part.isascii() else part.translate(self.letters))])
+            else:
+                found.append(self.tokenizer.encode(part, add_special_tokens=False).ids)
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        return np.fromiter((i for own in found for i in own), dtype=np.int64, count=int(lengths.sum())), lengths
+        return np.fromiter(chain.from_iterable(found), dtype=np.int64, count=int(lengths.sum())), lengths
 
 
 def compressed(ids: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,33 +136,45 @@ def compressed(ids: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.
 
 
 class Shard:
-    """A shard of the file format, as bytes and back."""
+    """A shard of the file format, as bytes and back.
+
+    Head, then as little-endian arrays: doc_ids, the end of each document, the number of ids each
+    rule expands to, left and right symbols of the rules, and the sequence of symbols.
+    """
 
     def __init__(self, first, doc_ids, ends, left, right, sizes, rest):
         self.first, self.doc_ids, self.ends = first, doc_ids, ends
         self.left, self.right, self.sizes, self.rest = left, right, sizes, rest
+        # what each symbol stands for, one after the other: an id for itself, a rule for its two sides
+        opened: list[list[int]] = []
+        for a, b in zip(left.tolist(), right.tolist(), strict=True):
+            opened.append((opened[a - first] if a >= first else [a]) + (opened[b - first] if b >= first else [b]))
+        self.flat = np.concatenate([np.arange(first), np.fromiter(chain.from_iterable(opened), dtype=np.int64, count=int(sizes.sum()))])
+        self.lengths = np.concatenate([np.ones(first, dtype=np.int64), sizes.astype(np.int64)])
+        self.starts = np.cumsum(self.lengths) - self.lengths
 
     @classmethod
     def of(cls, doc_ids: list[int], documents: list[np.ndarray], first: int) -> Shard:
         """Shard of documents' ids, all below ``first``."""
         ids = np.concatenate(documents)
         left, right, rest = compressed(ids, first)
-        sizes = np.ones(first + len(left), dtype=np.uint32)
-        for n, (a, b) in enumerate(zip(left.tolist(), right.tolist(), strict=True), first):
-            sizes[n] = sizes[a] + sizes[b]
-        return cls(first, np.array(doc_ids, dtype=np.int64), np.cumsum([len(d) for d in documents], dtype=np.uint64), left, right, sizes[first:], rest)
+        sizes = [1] * first
+        for a, b in zip(left.tolist(), right.tolist(), strict=True):
+            sizes.append(sizes[a] + sizes[b])
+        ends = np.cumsum([len(d) for d in documents], dtype=np.uint64)
+        return cls(first, np.array(doc_ids, dtype=np.int64), ends, left, right, np.array(sizes[first:], dtype=np.uint32), rest)
 
     def write(self) -> bytes:
-        head = _HEAD.pack(_MAGIC, self.first, len(self.doc_ids), len(self.left), int(self.ends[-1]), len(self.rest))
+        head = struct.pack(_HEAD, _MAGIC, self.first, len(self.doc_ids), len(self.left), int(self.ends[-1]), len(self.rest))
         parts = (self.doc_ids.astype("<i8"), self.ends.astype("<u8"), self.sizes.astype("<u4"), self.left.astype("<u2"), self.right.astype("<u2"), self.rest.astype("<u2"))
         return head + b"".join(p.tobytes() for p in parts)
 
     @classmethod
     def read(cls, content: bytes) -> Shard:
-        magic, first, docs, rules, _, symbols = _HEAD.unpack_from(content)
+        magic, first, docs, rules, _, symbols = struct.unpack_from(_HEAD, content)
         if magic != _MAGIC:
             raise ValueError("not a shard of token ids")
-        at, found = _HEAD.size, []
+        at, found = struct.calcsize(_HEAD), []
         for kind, count in (("<i8", docs), ("<u8", docs), ("<u4", rules), ("<u2", rules), ("<u2", rules), ("<u2", symbols)):
             found.append(np.frombuffer(content, kind, count, at))
             at += found[-1].nbytes
@@ -156,22 +182,12 @@ class Shard:
         return cls(first, doc_ids, ends, left, right, sizes, rest)
 
     def _expanded(self, symbols: np.ndarray) -> np.ndarray:
-        """Ids the symbols stand for: all rules are opened once per level of nesting."""
-        symbols = symbols.astype(np.int64)
-        while True:
-            rule = symbols >= self.first
-            if not rule.any():
-                return symbols
-            start = np.cumsum(rule + 1) - (rule + 1)
-            out = np.empty(len(symbols) + int(rule.sum()), dtype=np.int64)
-            out[start] = np.where(rule, self.left[np.where(rule, symbols - self.first, 0)] if len(self.left) else 0, symbols)
-            out[start[rule] + 1] = self.right[symbols[rule] - self.first]
-            symbols = out
+        """Ids the symbols stand for."""
+        return self.flat[gathered(self.starts[symbols], self.lengths[symbols])]
 
     def ids(self, start: int, end: int) -> np.ndarray:
         """Ids from start to end: only the symbols that cover them are opened."""
-        sizes = np.concatenate([np.ones(self.first, dtype=np.int64), self.sizes.astype(np.int64)])
-        ends = np.cumsum(sizes[self.rest])
+        ends = np.cumsum(self.lengths[self.rest])
         low, high = np.searchsorted(ends, start, "right"), np.searchsorted(ends, end, "left") + 1
         began = ends[low - 1] if low else 0
         return self._expanded(self.rest[low:high])[start - began:end - began]

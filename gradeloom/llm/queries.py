@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import bpe, exact_dedup, langid, mixing, secret_scan, simhash, winnow
+from gradeloom.llm import bpe, exact_dedup, grammar, langid, mixing, secret_scan, simhash, winnow
 from gradeloom.llm.common import documents
 
 
@@ -53,6 +53,10 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.learn(docs, ~langid.held_out()))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grammar.stored(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir))
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_secrets": op4_secrets,
     "op6_langid": op6_langid,
+    "op7_token_files": op7_token_files,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
 }
