@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import bpe, exact_dedup, grammar, langid, mixing, secret_scan, simhash, winnow
+from gradeloom.llm import bpe, exact_dedup, grammar, langid, mixing, quality, secret_scan, simhash, winnow
 from gradeloom.llm.common import documents
 
 
@@ -65,6 +65,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.scored(docs, quality.learn(docs, labels, ~langid.held_out()))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_exact_dedup": op2_exact_dedup,
@@ -74,6 +80,7 @@ QUERIES = {
     "op7_token_files": op7_token_files,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
+    "op10_quality": op10_quality,
 }
 
 #: DuckDB SQL for the rows of a query, where SQL can say them.
