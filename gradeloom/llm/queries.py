@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import bpe, exact_dedup, grammar, langid, mixing, quality, secret_scan, simhash, winnow
+from gradeloom.llm import bpe, exact_dedup, grammar, langid, mixing, quality, secret_scan, simhash, token_counts, winnow
 from gradeloom.llm.common import documents
 
 
@@ -48,6 +48,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scanned(documents(spark, sf_dir))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.ingested(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return langid.identify(docs, langid.learn(docs, ~langid.held_out()))
@@ -76,6 +80,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_bpe": op3_bpe,
     "op4_secrets": op4_secrets,
+    "op5_token_counts": op5_token_counts,
     "op6_langid": op6_langid,
     "op7_token_files": op7_token_files,
     "op8_mixing": op8_mixing,
