@@ -145,4 +145,4 @@ def drop_exact_duplicates(docs: DataFrame, incoming) -> DataFrame:
 
     Rows without a doc_id have nothing to be told by and stay.
     """
-    return keep_listed(docs, exact_duplicates(docs, incoming).filter("kept").select("doc_id"))
+    return keep_listed(docs, exact_duplicates(docs, incoming).filter("doc_id = keep_id"))
