@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -37,3 +38,11 @@ def messy():
         (13, prose(3, 50) + "\x1c\x85\xa0end", "fr", "\U0001f600"), (14, prose(3, 50) + "\x1c\x85\xa0end", "fr", "￿"), (2**62, prose(4, 80), "en", "a"), (-5, prose(5, 12), "en", "b"),
     ]
     return rows + [(100 + n, prose(100 + n, 5 + n % 40), "en", "abc"[n % 3]) for n in range(60)]
+
+
+@pytest.fixture(scope="session")
+def tables():
+    path = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(path):
+        pytest.skip("no test tables")
+    return path
