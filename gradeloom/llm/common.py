@@ -36,22 +36,24 @@ def salted_left_join(rows: DataFrame, table: DataFrame, key: str | list[str], sp
     return salted.join(spread_out, [*keys, "_salt"], "left").drop("_salt")
 
 
-def one_row_each(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """A row of ``docs`` as ``_row`` for each doc_id of ``wanted``, beside the columns of ``wanted``.
+def one_row_each(docs: DataFrame, listed: DataFrame) -> DataFrame:
+    """A row of ``docs`` as ``_row`` for each doc_id of ``listed``, beside the columns of ``listed``.
 
-    ``wanted`` has a row for each row of docs it is about, the same for every row of a doc_id; null
-    ids are left out. Only doc_ids with several rows are grouped, and give their smallest row.
+    ``listed`` has one row for each doc_id, none for null, and ``_often``: whether docs has several
+    rows of it. Only those are grouped, and give their smallest row.
     """
-    columns = [c for c in wanted.columns if c != "doc_id"]
-    first = [F.first(c).alias(c) for c in columns]
-    listed = wanted.groupBy("doc_id").agg(*first, (F.count("*") > 1).alias("_often"))
+    columns = [c for c in listed.columns if c not in ("doc_id", "_often")]
     found = docs.select("doc_id", F.struct(*docs.columns).alias("_row")).join(listed, "doc_id")
     once = found.filter("not _often").select("_row", *columns)
+    first = [F.first(c).alias(c) for c in columns]
     several = found.filter("_often").groupBy("doc_id").agg(F.min("_row").alias("_row"), *first).select("_row", *columns)
     return once.union(several)
 
 
 def keep_listed(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is listed in ``kept``, one for each doc_id, and all without one."""
-    nameless = docs.filter("doc_id is null")
-    return one_row_each(docs, kept.select("doc_id")).select("_row.*").union(nameless)
+    """Rows of ``docs`` whose doc_id is in ``kept``, one for each doc_id, and all without one.
+
+    ``kept`` has a doc_id as often as docs has.
+    """
+    listed = kept.filter("doc_id is not null").groupBy("doc_id").agg((F.count("*") > 1).alias("_often"))
+    return one_row_each(docs, listed).select("_row.*").union(docs.filter("doc_id is null"))

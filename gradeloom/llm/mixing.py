@@ -154,7 +154,9 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     Several rows of one doc_id count as copies of it: what is taken of them is taken of the first.
     Rows without a doc_id can't be told by a mix and are left out.
     """
-    taken = mixed(docs).groupBy("doc_id").agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size")).filter("_taken > 0")
+    taken = mixed(docs).filter("doc_id is not null").groupBy("doc_id").agg(
+        F.sum("taken").alias("_taken"), F.max("size").alias("_size"), (F.count("*") > 1).alias("_often")
+    ).filter("_taken > 0")
     found = one_row_each(docs, taken)
     copies = F.expr("sequence(1L, ceil(_taken / _size))")
     each = found.withColumn("_copy", F.explode(copies)).withColumn("_words", F.least("_size", F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")))
