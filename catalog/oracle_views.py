@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from gradeloom.functions import rules
 
-RESULTS = """
+def padded(number: str, width: int) -> str:
+    text = f"cast({number} AS string)"
+    return f"lpad({text}, cast(greatest({width}, length({text})) AS int), '0')"
+
+
+RESULTS = f"""
 l AS (
   SELECT l_orderkey AS k, l_linenumber AS n, max(l_partkey) AS pk
   FROM lineitem GROUP BY l_orderkey, l_linenumber),
@@ -19,7 +24,7 @@ t AS (
   FROM g),
 results AS (
 SELECT cast(year(o_orderdate) AS int) AS an, o_orderkey AS ord,
-  concat('J', substr('ABCDEFGHIJKLMNOPQRSTUVWXY', c_nationkey + 1, 1), lpad(cast(o_orderkey AS string), 7, '0')) AS cod_candidat,
+  concat('J', substr('ABCDEFGHIJKLMNOPQRSTUVWXY', c_nationkey + 1, 1), {padded('o_orderkey', 7)}) AS cod_candidat,
   CASE WHEN o_orderkey % 101 = 0 THEN 'x' WHEN o_orderkey % 2 = 0 THEN 'Masculin' ELSE 'f' END AS sex,
   CASE WHEN o_orderkey % 9 = 0 THEN NULL
        WHEN o_orderkey % 7 = 0 THEN '1990-1991'
@@ -27,7 +32,7 @@ SELECT cast(year(o_orderdate) AS int) AS an, o_orderkey AS ord,
   concat('Liceul „', c_mktsegment, '” Nr. ', cast(o_custkey % 40 AS string)) AS unitate_nume,
   concat('J', substr('ABCDEFGHIJKLMNOPQRSTUVWXY', c_nationkey + 1, 1)) AS unitate_cod_judet,
   CASE WHEN o_custkey % 11 = 0 THEN NULL
-       ELSE concat('016', cast(1 + o_custkey % 2 AS string), cast(1 + o_custkey % 3 AS string), lpad(cast(o_custkey AS string), 4, '0'), '0') END AS unitate_siiir,
+       ELSE concat('016', cast(1 + o_custkey % 2 AS string), cast(1 + o_custkey % 3 AS string), {padded('o_custkey', 4)}, '0') END AS unitate_siiir,
   max(CASE WHEN n = 1 THEN first_mark END) AS lr_init, max(CASE WHEN n = 1 THEN appeal END) AS lr_cont,
   CASE WHEN o_orderkey % 6 = 0 THEN 'Limba 1' WHEN o_orderkey % 6 = 1 THEN '-' ELSE '' END AS limba_materna,
   max(CASE WHEN n = 4 AND o_orderkey % 6 = 0 THEN first_mark END) AS lm_init,
@@ -50,7 +55,7 @@ institutions AS (
 SELECT p_partkey AS id, {_COUNTY_OF_BRAND} AS cod_judet,
   concat('Școala „', p_name, '” ', p_type, ' Nr. ', cast(p_size AS string)) AS nume,
   CASE WHEN p_partkey % 10 = 0 THEN NULL
-       ELSE concat('0161', cast(1 + p_partkey % 3 AS string), lpad(cast(p_partkey % 10000 AS string), 4, '0'), '0') END AS cod_siiir
+       ELSE concat('0161', cast(1 + p_partkey % 3 AS string), {padded('p_partkey', 4)}, '0') END AS cod_siiir
 FROM part)
 """
 
@@ -68,7 +73,7 @@ SELECT DISTINCT {_COUNTY_OF_BRAND} AS cod_judet,
        WHEN p_partkey % 4 = 1 THEN concat('Şcoala ''', replace(p_name, 'l', ''), ''' ', p_type, ' Nr.', cast(p_size AS string))
        WHEN p_partkey % 4 = 2 THEN concat('Scoala ', p_type, ' ', p_name, ' ', cast(p_size + 1 AS string))
        ELSE concat('Școala ,,', p_name, '" ', p_type, ' Nr. ', cast(p_size AS string)) END AS nume
-FROM part WHERE p_partkey % 3 <> 0)
+FROM part)
 """
 
 _COUNTY_NAMES = "[" + ", ".join(f"'JUD. {c[2].upper()}'" for c in rules.COUNTIES) + "]"
@@ -84,29 +89,29 @@ COUNTIES = "counties AS (SELECT * FROM (VALUES " + ", ".join(
 
 OLD_REGISTRIES = f"""
 first_registry AS (
-SELECT p_partkey AS nr_crt, lpad(cast(p_partkey % 700 AS string), 10, '0') AS cod_siiir,
-  concat('Liceul ', p_name, ' ', cast(p_size AS string)) AS nume_unitate, {county_text('p_partkey')} AS judet FROM part),
+SELECT p_partkey AS nr_crt, {padded('p_partkey // 3', 10)} AS cod_siiir,
+  concat('Liceul ', p_name, ' ', cast(p_size AS string)) AS nume_unitate, {county_text('p_partkey')} AS judet FROM part WHERE (p_partkey // 3) % 7 <> 0),
 second_registry AS (
-SELECT p_partkey AS nr_crt, cast(p_partkey % 1100 AS string) AS cod_sirues,
-  concat('Grup Liceul ', p_name, ' ', cast(p_size AS string)) AS nume_unitate, {county_text('p_partkey + 7')} AS judet FROM part)
+SELECT p_partkey AS nr_crt, cast(p_partkey // 2 AS string) AS cod_sirues,
+  concat('Grup Liceul ', p_name, ' ', cast(p_size AS string)) AS nume_unitate, {county_text('p_partkey + 7')} AS judet FROM part WHERE (p_partkey // 2) % 7 <> 0)
 """
 
-DETAILS = """
+DETAILS = f"""
 details AS (
-SELECT s_suppkey AS aux_id, lpad(cast(s_suppkey AS string), 10, '0') AS cod, concat(' Str. ', s_name, ',') AS strada,
+SELECT s_suppkey AS aux_id, {padded('s_suppkey', 10)} AS cod, concat(' Str. ', s_name, ',') AS strada,
   ['-', '12', ' x ', '7 bis.', ''][cast(s_suppkey % 5 + 1 AS int)] AS nr_strada,
   CASE WHEN s_suppkey % 6 <> 0 THEN concat(n_name, '-VALE') END AS localitate,
-  CASE WHEN s_suppkey % 4 <> 0 THEN lpad(cast(s_suppkey * 7 AS string), 6, '0') END AS cod_postal,
+  CASE WHEN s_suppkey % 4 <> 0 THEN {padded('s_suppkey * 7', 6)} END AS cod_postal,
   CASE WHEN s_suppkey % 3 = 0 THEN '' WHEN s_suppkey % 3 = 1 THEN concat('www.s', cast(s_suppkey AS string), '.example') END AS website,
-  CASE WHEN s_suppkey % 2 = 0 THEN concat('07', lpad(cast(s_suppkey AS string), 8, '0')) END AS telefon,
+  CASE WHEN s_suppkey % 2 = 0 THEN concat('07', {padded('s_suppkey', 8)}) END AS telefon,
   CASE WHEN s_suppkey % 5 <> 0 THEN cast(s_suppkey * 13 AS string) END AS cod_fiscal
 FROM supplier JOIN nation ON s_nationkey = n_nationkey)
 """
 
-LISTED = """
+LISTED = f"""
 listed AS (
 SELECT c_custkey AS id, concat(c_mktsegment, ' Nr. ', cast(c_custkey AS string)) AS nume,
-  CASE WHEN c_custkey % 9 <> 0 THEN lpad(cast(c_custkey % 1000 AS string), 10, '0') END AS cod_siiir,
+  CASE WHEN c_custkey % 9 <> 0 THEN {padded('c_custkey // 10', 10)} END AS cod_siiir,
   CASE WHEN c_custkey % 4 = 0 THEN 'Str. Veche 1' WHEN c_custkey % 4 = 1 THEN '' END AS adresa,
   CASE WHEN c_custkey % 5 = 0 THEN 'www.vechi.example' END AS website,
   CASE WHEN c_custkey % 7 = 0 THEN '0700' END AS telefon, cast(NULL AS varchar) AS cod_fiscal
@@ -123,9 +128,11 @@ NUMBERED = """
 numbered AS (
 SELECT o_orderkey // 5000 AS set_no, (o_orderkey % 5000) // 20 + 1 AS page_no, o_orderkey % 20 AS row_no,
   cast(o_orderkey % 5000 + 1 AS string) AS crt, o_orderpriority AS value
-FROM orders WHERE o_orderkey % 997 <> 0)
+FROM orders)
 """
 
+FOUND = "found_rows AS (SELECT * FROM numbered WHERE (set_no * 5000 + (page_no - 1) * 20 + row_no) % 997 <> 0)"
+
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"

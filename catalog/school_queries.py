@@ -115,26 +115,28 @@ named AS (SELECT *, count(*) OVER (PARTITION BY cod_siiir) AS variants,
 """
 
 
+_NUMBER = "cast(substr(cod_siiir, 6, length(cod_siiir) - 6) AS int)"
+
+
 def result_schools(spark: SparkSession, sf: str) -> DataFrame:
-    """Schools of the results by code, as a dimension in which every fifth code is missing and
-    some names differ."""
+    """Schools of the results by code, as a dimension in which some names differ."""
     named = dimension.school_names(views.candidates(spark, sf)).drop("variants")
-    number = F.substring("cod_siiir", 6, 4).cast("int")
     other = F.concat(F.lit("Grup "), "nume")
-    return named.filter(number % 5 != 0).withColumn("nume", F.when(number % 3 == 0, other).otherwise(F.upper("nume")))
+    return named.withColumn("nume", F.when(F.expr(_NUMBER) % 3 == 0, other).otherwise(F.upper("nume")))
 
 
-_SCHOOLS = """
-schools AS (SELECT cod_siiir, CASE WHEN cast(substr(cod_siiir, 6, 4) AS int) % 3 = 0 THEN 'Grup ' || nume ELSE upper(nume) END AS nume, cod_judet
-  FROM named WHERE rn = 1 AND cast(substr(cod_siiir, 6, 4) AS int) % 5 <> 0)
+_SCHOOLS = f"""
+schools AS (SELECT cod_siiir, CASE WHEN {_NUMBER} % 3 = 0 THEN 'Grup ' || nume ELSE upper(nume) END AS nume, cod_judet
+  FROM named WHERE rn = 1)
 """
 
 
 @query("missing_schools", ov.sql(ov.RESULTS, _NAMED, _SCHOOLS, select=f"""
 SELECT cod_siiir, nume, cod_judet, variants, {ov.display_name('nume')} AS nume_afisat FROM named
-WHERE rn = 1 AND cod_siiir NOT IN (SELECT cod_siiir FROM schools)"""))
+WHERE rn = 1 AND cod_siiir NOT IN (SELECT cod_siiir FROM schools WHERE {_NUMBER} % 5 <> 0)"""))
 def missing_schools(spark: SparkSession, sf: str) -> DataFrame:
-    return dimension.missing_schools(views.candidates(spark, sf), result_schools(spark, sf))
+    """Every fifth school is missing from the dimension."""
+    return dimension.missing_schools(views.candidates(spark, sf), result_schools(spark, sf).filter(F.expr(_NUMBER) % 5 != 0))
 
 
 @query("unused_schools", ov.sql(ov.RESULTS, ov.INSTITUTIONS, select="""
@@ -154,7 +156,7 @@ def kept_schools(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("name_drift", ov.sql(ov.INSTITUTIONS, ov.REGISTRY, select=f"""
 , official AS (SELECT cod_siiir_unitate AS code, max((denumire_lunga_unitate, judet_pj)) AS o FROM registry
-  WHERE stare_liceal IS NOT NULL GROUP BY ALL),
+  GROUP BY ALL),
 drifting AS (SELECT id, cod_judet, cod_siiir, CASE WHEN id % 3 = 0 THEN replace(nume, 'Nr.', 'Numarul') ELSE nume END AS nume FROM institutions),
 judged AS (SELECT id, nume, o[1] AS nume_registru, CASE WHEN o IS NULL THEN 'missing'
   WHEN {ov.fold_key('nume', 'cod_judet')} = {ov.fold_key('o[1]', 'o[2]')} THEN 'same' ELSE 'different' END AS status
@@ -164,8 +166,7 @@ FROM judged"""))
 def name_drift(spark: SparkSession, sf: str) -> DataFrame:
     renamed = F.replace("nume", F.lit("Nr."), F.lit("Numarul"))
     schools = views.institutions(spark, sf).withColumn("nume", F.when(F.col("id") % 3 == 0, renamed).otherwise(F.col("nume")))
-    registry = views.registry(spark, sf).filter("stare_liceal is not null")
-    return dimension.name_drift(schools, registry).select("id", "nume", "nume_registru", "status", "nume_nou")
+    return dimension.name_drift(schools, views.registry(spark, sf)).select("id", "nume", "nume_registru", "status", "nume_nou")
 
 
 @query("name_drift_applied", ov.sql(ov.RESULTS, _NAMED, _SCHOOLS, select=f"""
@@ -179,14 +180,14 @@ def name_drift_applied(spark: SparkSession, sf: str) -> DataFrame:
 @query("two_registry_lookup", ov.sql(ov.OLD_REGISTRIES, ov.COUNTIES, select="""
 , a AS (SELECT cast(cod_siiir AS bigint) AS code, max((nr_crt, nume_unitate, judet)) AS v FROM first_registry GROUP BY ALL),
 b AS (SELECT cast(cod_sirues AS bigint) AS code, max((nr_crt, nume_unitate, judet)) AS v FROM second_registry GROUP BY ALL),
-found AS (SELECT o_orderkey AS id, coalesce(a.v, b.v) AS v FROM (SELECT o_orderkey, o_custkey % 1300 AS c FROM orders) o
+found AS (SELECT o_orderkey AS id, coalesce(a.v, b.v) AS v FROM (SELECT o_orderkey, o_custkey AS c FROM orders) o
   LEFT JOIN a ON a.code = c LEFT JOIN b ON b.code = c)
 SELECT id, any_value(v[2]) AS liceu, arg_min(counties.code, pos) AS judet, any_value(v) IS NOT NULL AS code_known
 FROM found LEFT JOIN counties ON contains(upper(strip_accents(v[3])), plain) GROUP BY id"""))
 def two_registry_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    code = F.col("o_custkey") % 1300
+    code = F.col("o_custkey")
     facts = views.table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("id"), F.lpad(code.cast("string"), 7, "0").alias("siiir"), code.cast("string").alias("sirues")
+        F.col("o_orderkey").alias("id"), views.padded(code, 7).alias("siiir"), code.cast("string").alias("sirues")
     )
     first, second = views.old_registries(spark, sf)
     return dimension.two_registry_lookup(facts, first, second).select("id", "liceu", "judet", "code_known")
@@ -249,11 +250,11 @@ def alias_rows_dropped(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("unified_dimension", """
 SELECT c_custkey AS id, c_name AS nume, c_custkey % 50 AS rank FROM customer WHERE c_custkey % 2 = 0
-UNION ALL SELECT c_custkey, c_mktsegment, NULL FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 2 <> 0""")
+UNION ALL SELECT c_custkey, c_mktsegment, NULL FROM customer WHERE c_custkey % 2 <> 0""")
 def unified_dimension(spark: SparkSession, sf: str) -> DataFrame:
     customer, key = views.table(spark, sf, "customer"), F.col("c_custkey")
     high = customer.filter(key % 2 == 0).select(key.alias("id"), F.col("c_name").alias("nume"), (key % 50).alias("rank"))
-    middle = customer.filter(key % 3 == 0).select(key.alias("id"), F.col("c_mktsegment").alias("nume"), F.lit("x").alias("cod_siiir"))
+    middle = customer.filter((key % 3 == 0) | (key % 2 != 0)).select(key.alias("id"), F.col("c_mktsegment").alias("nume"), F.lit("x").alias("cod_siiir"))
     return dimension.unify_dimensions(high, middle)
 
 
@@ -399,7 +400,7 @@ _OLD_MARK = """CASE WHEN regexp_matches({0}, '^[0-9.]+$') THEN cast({0} AS doubl
 @query("old_bac_rows", ov.sql(ov.RESULTS, ov.OLD_REGISTRIES, ov.COUNTIES, select=f"""
 , num AS (SELECT *, {_OLD_MARK.format('lr_init')} AS lr_i, {_OLD_MARK.format('lr_cont')} AS lr_c, {_OLD_MARK.format('lm_init')} AS lm_f,
   {_OLD_MARK.format('do_init')} AS do_i, {_OLD_MARK.format('do_cont')} AS do_c, {_OLD_MARK.format('da_init')} AS da_i,
-  {_OLD_MARK.format('da_cont')} AS da_c, ord % 1300 AS c FROM results),
+  {_OLD_MARK.format('da_cont')} AS da_c, ord // 20 AS c FROM results),
 a AS (SELECT cast(cod_siiir AS bigint) AS code, max((nr_crt, nume_unitate, judet)) AS v FROM first_registry GROUP BY ALL),
 b AS (SELECT cast(cod_sirues AS bigint) AS code, max((nr_crt, nume_unitate, judet)) AS v FROM second_registry GROUP BY ALL),
 county_of AS (SELECT j AS judet, arg_min(code, pos) AS county FROM (SELECT DISTINCT judet AS j FROM first_registry UNION SELECT judet FROM second_registry)
@@ -413,11 +414,11 @@ SELECT an, cod_candidat, county AS id_judet, {ov.canonical_id('liceu', 'county',
   CASE WHEN label IN ('REUSIT', 'RESPINS') THEN (lr + dof + da + coalesce(lm_f, 0)) / CASE WHEN lm_f IS NULL THEN 3 ELSE 4 END END AS my_medie,
   label AS rezultat, CASE WHEN label IS NULL THEN 'label' ELSE '' END AS why FROM named"""))
 def old_bac_rows(spark: SparkSession, sf: str) -> DataFrame:
-    code = F.col("ord") % 1300
+    code = F.floor(F.col("ord") / 20)
     number = {f"{s}_initial": F.col(f"{s}_init").try_cast("double") for s in ("lr", "lm", "do", "da")}
     appeal = {f"{s}_contestatie": F.col(f"{s}_cont").try_cast("double") for s in ("lr", "do", "da")}
     records = views.results(spark, sf).withColumns({
-        **number, **appeal, "lm_contestatie": F.lit(None).cast("double"), "siiir": F.lpad(code.cast("string"), 7, "0"),
+        **number, **appeal, "lm_contestatie": F.lit(None).cast("double"), "siiir": views.padded(code, 7),
         "sirues": code.cast("string"), "specializare": F.lit(None).cast("string"), "limba_straina": F.lit(None).cast("string"),
         "disciplina_obligatorie": F.lit(None).cast("string"), "disciplina_la_alegere": F.lit(None).cast("string"),
         "medie": F.lit(None).cast("double"), "rezultat_final": F.col("rezultat"),

@@ -22,12 +22,14 @@ def _county(number: Column) -> Column:
     return F.concat(F.lit("J"), F.substring(F.lit(LETTERS), number.cast("int") + 1, F.lit(1)))
 
 
-def _padded(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
+def padded(number: Column, width: int) -> Column:
+    """Zeros before a number up to a width; longer numbers keep all their digits."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
 
 
 def _mark(h: Column) -> Column:
-    return F.concat(F.floor(h / 100).cast("string"), F.lit("."), _padded(h % 100, 2))
+    return F.concat(F.floor(h / 100).cast("string"), F.lit("."), padded(h % 100, 2))
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(customer, orders.o_custkey == customer.c_custkey).select(
         year.alias("an"),
         ord.alias("ord"),
-        F.concat(county, _padded(ord, 7)).alias("cod_candidat"),
+        F.concat(county, padded(ord, 7)).alias("cod_candidat"),
         F.when(ord % 101 == 0, "x").when(ord % 2 == 0, "Masculin").otherwise("f").alias("sex"),
         F.when(ord % 9 == 0, None).when(ord % 7 == 0, "1990-1991")
         .otherwise(F.concat((year - 1).cast("string"), F.lit("-"), year.cast("string"))).alias("promotie"),
@@ -47,7 +49,7 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         county.alias("unitate_cod_judet"),
         F.when(
             cust % 11 != 0,
-            F.concat(F.lit("016"), (cust % 2 + 1).cast("string"), (cust % 3 + 1).cast("string"), _padded(cust, 4), F.lit("0")),
+            F.concat(F.lit("016"), (cust % 2 + 1).cast("string"), (cust % 3 + 1).cast("string"), padded(cust, 4), F.lit("0")),
         ).alias("unitate_siiir"),
         F.when(ord % 6 == 0, "Limba 1").when(ord % 6 == 1, "-").otherwise("").alias("limba_materna"),
         F.when(ord % 211 == 0, "Amânat").when(ord % 40 == 0, "Eliminat din examen")
@@ -65,7 +67,8 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates with marks. Lines are reduced to one row per order before the join, and the
-    reduction and the join share one partitioning by order key."""
+    reduction and the join share one partitioning by order key. The subjects are the first four
+    line numbers of an order; its further lines are no marks."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     parts = lines.groupBy("l_orderkey").agg(
         *[F.max(F.when(F.col("l_linenumber") == n, F.col("l_partkey"))).alias(f"p{n}") for n in (1, 2, 3, 4)]
@@ -99,7 +102,7 @@ def _letter_of_brand() -> Column:
 def institutions(spark: SparkSession, sf_dir: str) -> DataFrame:
     part, key = table(spark, sf_dir, "part"), F.col("p_partkey")
     name = F.concat(F.lit("Școala „"), "p_name", F.lit("” "), "p_type", F.lit(" Nr. "), F.col("p_size").cast("string"))
-    code = F.concat(F.lit("0161"), (key % 3 + 1).cast("string"), _padded(key % 10000, 4), F.lit("0"))
+    code = F.concat(F.lit("0161"), (key % 3 + 1).cast("string"), padded(key, 4), F.lit("0"))
     return part.select(
         key.alias("id"), _letter_of_brand().alias("cod_judet"), name.alias("nume"),
         F.when(key % 10 != 0, code).alias("cod_siiir"),
@@ -118,7 +121,7 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_schools(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Misspelt, reordered or re-punctuated names of two thirds of the parts."""
+    """Misspelt, reordered or re-punctuated names of the parts."""
     part, key, size = table(spark, sf_dir, "part"), F.col("p_partkey"), F.col("p_size")
     name = (
         F.when(key % 4 == 0, F.concat(F.lit("SCOALA "), F.upper("p_name"), F.lit(" "), "p_type", F.lit(" NR "), size.cast("string")))
@@ -127,7 +130,7 @@ def source_schools(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 4 == 2, F.concat(F.lit("Scoala "), "p_type", F.lit(" "), "p_name", F.lit(" "), (size + 1).cast("string")))
         .otherwise(F.concat(F.lit("Școala ,,"), "p_name", F.lit('" '), "p_type", F.lit(" Nr. "), size.cast("string")))
     )
-    return part.filter(key % 3 != 0).select(_letter_of_brand().alias("cod_judet"), name.alias("nume")).distinct()
+    return part.select(_letter_of_brand().alias("cod_judet"), name.alias("nume")).distinct()
 
 
 def county_text(number: Column) -> Column:
@@ -136,15 +139,17 @@ def county_text(number: Column) -> Column:
 
 
 def old_registries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Two older registries with codes as numbers in text, the first with leading zeros."""
+    """Two older registries with codes as numbers in text, the first with leading zeros. Some
+    parts share a code, and every seventh code is in neither."""
     part, key = table(spark, sf_dir, "part"), F.col("p_partkey")
     name = F.concat(F.lit("Liceul "), "p_name", F.lit(" "), "p_size")
-    first = part.select(
-        key.cast("double").alias("nr_crt"), _padded(key % 700, 10).alias("cod_siiir"),
+    first_code, second_code = F.floor(key / 3), F.floor(key / 2)
+    first = part.filter(first_code % 7 != 0).select(
+        key.cast("double").alias("nr_crt"), padded(first_code, 10).alias("cod_siiir"),
         name.alias("nume_unitate"), county_text(key).alias("judet"),
     )
-    second = part.select(
-        key.cast("double").alias("nr_crt"), (key % 1100).cast("string").alias("cod_sirues"),
+    second = part.filter(second_code % 7 != 0).select(
+        key.cast("double").alias("nr_crt"), second_code.cast("string").alias("cod_sirues"),
         F.concat(F.lit("Grup "), name).alias("nume_unitate"), county_text(key + 7).alias("judet"),
     )
     return first, second
@@ -157,25 +162,24 @@ def school_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.element_at(F.array(*[F.lit(t) for t in ["-", "12", " x ", "7 bis.", ""]]), (key % 5 + 1).cast("int"))
     return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
         key.alias("aux_id"),
-        _padded(key, 10).alias("cod"),
+        padded(key, 10).alias("cod"),
         F.concat(F.lit(" Str. "), "s_name", F.lit(",")).alias("strada"),
         number.alias("nr_strada"),
         F.when(key % 6 != 0, F.concat("n_name", F.lit("-VALE"))).alias("localitate"),
-        F.when(key % 4 != 0, _padded(key * 7, 6)).alias("cod_postal"),
+        F.when(key % 4 != 0, padded(key * 7, 6)).alias("cod_postal"),
         F.when(key % 3 == 0, "").when(key % 3 == 1, F.concat(F.lit("www.s"), key.cast("string"), F.lit(".example"))).alias("website"),
-        F.when(key % 2 == 0, F.concat(F.lit("07"), _padded(key, 8))).alias("telefon"),
+        F.when(key % 2 == 0, F.concat(F.lit("07"), padded(key, 8))).alias("telefon"),
         F.when(key % 5 != 0, (key * 13).cast("string")).alias("cod_fiscal"),
     )
 
 
 def listed_schools(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """School rows with display attributes, one per customer."""
+    """School rows with display attributes, one per customer; ten share a code of the details."""
     customer, key = table(spark, sf_dir, "customer"), F.col("c_custkey")
-    suppliers = F.lit(1000)
     return customer.select(
         key.alias("id"),
         F.concat("c_mktsegment", F.lit(" Nr. "), key.cast("string")).alias("nume"),
-        F.when(key % 9 != 0, _padded(key % suppliers, 10)).alias("cod_siiir"),
+        F.when(key % 9 != 0, padded(F.floor(key / 10), 10)).alias("cod_siiir"),
         F.when(key % 4 == 0, "Str. Veche 1").when(key % 4 == 1, "").alias("adresa"),
         F.when(key % 5 == 0, "www.vechi.example").alias("website"),
         F.when(key % 7 == 0, "0700").alias("telefon"),
@@ -191,11 +195,16 @@ def alias_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select(key.cast("string").alias("alternativ"), (key + 1).cast("string").alias("corect"))
 
 
+def found_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbered rows without some that were lost on the way, for the audits of pages."""
+    key = F.col("set_no") * 5000 + (F.col("page_no") - 1) * 20 + F.col("row_no")
+    return numbered_rows(spark, sf_dir).filter(key % 997 != 0)
+
+
 def numbered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Result rows on numbered pages of twenty, in sets of 250 pages; some rows are lost."""
+    """Result rows on numbered pages of twenty, in sets of 250 pages."""
     key = F.col("o_orderkey")
-    kept = table(spark, sf_dir, "orders").filter(key % 997 != 0)
-    return kept.select(
+    return table(spark, sf_dir, "orders").select(
         F.floor(key / 5000).alias("set_no"),
         (F.floor(key % 5000 / 20) + 1).alias("page_no"),
         (key % 20).alias("row_no"),
