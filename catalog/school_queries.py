@@ -16,13 +16,14 @@ from gradeloom.plans import loads, rows
 
 _KEYS = f"""
 keys AS (SELECT DISTINCT cod_judet AS county, {ov.match_key('nume', 'cod_judet')} AS key FROM source_schools),
-own AS (SELECT cod_judet AS county, cod_siiir AS code, max({ov.match_key('nume', 'cod_judet')}) AS alias
-  FROM institutions WHERE cod_siiir IS NOT NULL GROUP BY ALL),
+own AS (SELECT *, alias = max(alias) OVER (PARTITION BY county, code) AS is_near FROM (
+  SELECT DISTINCT cod_judet AS county, cod_siiir AS code, {ov.match_key('nume', 'cod_judet')} AS alias FROM institutions WHERE cod_siiir IS NOT NULL)),
 official AS (SELECT DISTINCT judet_pj AS county, cod_siiir_unitate AS code, {ov.match_key('denumire_lunga_unitate', 'judet_pj')} AS alias
   FROM registry WHERE stare_liceal IS NOT NULL),
-targets AS (SELECT *, true AS is_primary FROM own
-  UNION ALL SELECT official.*, false FROM official SEMI JOIN own USING (county, code)),
-exact AS (SELECT county, key, max(code) AS code FROM keys JOIN own USING (county) WHERE key = alias GROUP BY ALL)
+targets AS (SELECT county, code, alias, true AS is_primary, is_near FROM own
+  UNION ALL SELECT official.*, false, true FROM official SEMI JOIN own USING (county, code)),
+exact AS (SELECT county, min(key) AS key, code FROM (
+  SELECT county, key, max(code) AS code FROM keys JOIN own USING (county) WHERE key = alias GROUP BY ALL) GROUP BY county, code)
 """
 
 
@@ -84,19 +85,23 @@ def unmatched_schools(spark: SparkSession, sf: str) -> DataFrame:
     return matching.unmatched_schools(views.source_schools(spark, sf), "nume", "cod_judet", matches)
 
 
+_NUMBERED_NAME = "concat('Școala Nr. ', regexp_extract(nume, 'Nr. ([0-9]+)$', 1))"
+
+
 @query("code_backfill", ov.sql(ov.INSTITUTIONS, select=f"""
-, named AS (SELECT *, {ov.canonical_id('nume', 'cod_judet')} AS cid, {ov.match_key('nume', 'cod_judet')} AS key FROM institutions),
-found AS (SELECT cod_judet AS county, key, max(CASE WHEN id % 2 = 0 THEN cod_siiir ELSE '9' || substr(cod_siiir, 2) END) AS code
+, renamed AS (SELECT id, cod_judet, cod_siiir, {_NUMBERED_NAME} AS nume FROM institutions),
+named AS (SELECT *, {ov.canonical_id('nume', 'cod_judet')} AS cid, {ov.match_key('nume', 'cod_judet')} AS key FROM renamed),
+coded AS (SELECT cod_judet AS county, key, max(CASE WHEN id % 2 = 0 THEN cod_siiir ELSE '9' || substr(cod_siiir, 2) END) AS code
   FROM named WHERE cod_siiir IS NOT NULL GROUP BY ALL),
+found AS (SELECT county, min(key) AS key, code FROM coded GROUP BY county, code),
 owners AS (SELECT cod_siiir AS code, min(cid) AS owner FROM named WHERE cod_siiir IS NOT NULL GROUP BY ALL)
 SELECT cid AS id, nume, code, owner, owner IS NULL AS accepted
 FROM named n JOIN found f ON f.county = n.cod_judet AND f.key = n.key LEFT JOIN owners USING (code) WHERE cod_siiir IS NULL"""))
 def code_backfill(spark: SparkSession, sf: str) -> DataFrame:
-    """Institutions without a code that share a name with a coded one; half of the codes found
-    belong to nobody and are accepted."""
-    schools = views.institutions(spark, sf).withColumn("n", F.col("id")).withColumn(
-        "id", names.canonical_id("nume", "cod_judet")
-    )
+    """Institutions without a code that share a name with coded ones; half of the codes found
+    belong to nobody and are accepted. Schools are named by their number, so many share a name."""
+    renamed = views.institutions(spark, sf).withColumn("nume", F.expr(_NUMBERED_NAME))
+    schools = renamed.withColumn("n", F.col("id")).withColumn("id", names.canonical_id("nume", "cod_judet"))
     other = F.concat(F.lit("9"), F.expr("substr(cod_siiir, 2)"))
     targets = matching.match_targets(
         schools.withColumn("cod_siiir", F.when(F.col("n") % 2 == 0, F.col("cod_siiir")).otherwise(other))
@@ -544,8 +549,8 @@ def old_admission_update(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("en_year", ov.sql(ov.INSTITUTIONS, ov.REGISTRY, ov.SOURCE_SCHOOLS, select=f"""
 , keyed AS (SELECT DISTINCT cod_judet AS county, nume, {ov.match_key('nume', 'cod_judet')} AS key FROM source_schools),
-own AS (SELECT cod_judet AS county, cod_siiir AS code, max({ov.match_key('nume', 'cod_judet')}) AS alias
-  FROM institutions WHERE cod_siiir IS NOT NULL GROUP BY ALL),
+own AS (SELECT *, alias = max(alias) OVER (PARTITION BY county, code) AS is_near FROM (
+  SELECT DISTINCT cod_judet AS county, cod_siiir AS code, {ov.match_key('nume', 'cod_judet')} AS alias FROM institutions WHERE cod_siiir IS NOT NULL)),
 exact AS (SELECT county, key, max(code) AS code FROM keyed JOIN own USING (county) WHERE alias = key GROUP BY ALL)
 SELECT county AS unitate_cod_judet, nume AS unitate_nume, code AS unitate_siiir FROM keyed LEFT JOIN exact USING (county, key)
 """))

@@ -204,8 +204,8 @@ SELECT name, active FROM (SELECT 'status' AS name, count(CASE WHEN l_quantity >
 UNION ALL SELECT 'price', count(l_extendedprice) > 0 FROM lineitem UNION ALL SELECT 'note', false)""")
 def active_columns(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["status", "price", "note"]
-    flags = update_batch(spark, sf).agg(*[F.bool_or(F.col(c).isNotNull()).alias(c) for c in columns])
-    return flags.unpivot([], columns, "name", "active")
+    found = updates.active_columns(update_batch(spark, sf), columns)
+    return spark.createDataFrame([(c, c in found) for c in columns], "name string, active boolean")
 
 
 @query("replace_year", ov.sql(_BASE, select="""
@@ -377,7 +377,7 @@ def page_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("result_page_rows", ov.sql(ov.NUMBERED, select="""
 SELECT set_no, page_no, (row_number() OVER (PARTITION BY set_no, page_no ORDER BY row_no) - 1)::int AS row_no,
-  crt || '|Nota<br/>' || value || '<br/>& x|' || cast(row_no % 3 AS string) AS txt
+  crt || '|Nota<br/>' || value || '<br/>& ășî &lt; x|' || cast(row_no % 3 AS string) AS txt
 FROM numbered WHERE page_no % 101 <> 0"""))
 def result_page_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = pages.page_rows(
@@ -389,7 +389,8 @@ def result_page_rows(spark: SparkSession, sf: str) -> DataFrame:
 @query("two_line_records", """
 SELECT o_orderkey AS id, array_to_string(list_transform(range(2) || range(2 + p, 12 + p) || range(100, 104) || range(12 + p, 15 + p)
     || range(104, 107) || [15 + p] || range(107, 110) || range(16 + p, 19 + p), lambda i:
-      'c' || cast(i AS string) || '-' || o_orderstatus), '|') AS txt
+      'c' || cast(i AS string) || '-' || o_orderstatus
+      || CASE WHEN i IN (0, 2 + p, 100, 12 + p, 104, 15 + p, 107, 16 + p) THEN chr(10) || 'more' ELSE '' END), '|') AS txt
 FROM (SELECT *, CASE WHEN o_orderkey % 2 = 0 THEN 0 ELSE 2 END AS p FROM orders)""")
 def two_line_records(spark: SparkSession, sf: str) -> DataFrame:
     """Older two-line records: the first line has 19 or 21 cells, the second ten."""

@@ -218,7 +218,7 @@ def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = numbered_rows(spark, sf_dir)
     line = F.concat(
         F.lit('<tr class="tr1 hint"><td> '), "crt", F.lit("</td><td>Nota <b>"), "value",
-        F.lit("</b> &amp; x</td></tr><tr class='tr2'><td>"), (F.col("row_no") % 3).cast("string"),
+        F.lit("</b> &amp; &#259;&#x219;&icirc; &amp;lt; x</td></tr><tr class='tr2'><td>"), (F.col("row_no") % 3).cast("string"),
         F.lit("</td></tr><tr class=\"tr3\"><td>no</td></tr>"),
     )
     page = rows.groupBy("set_no", "page_no").agg(

@@ -13,10 +13,15 @@ GRADE = "decimal(4,2)"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def parse_grade(c: ColumnLike, upper: float | None = 10) -> Column:
-    """Number between 1 and ``upper``, else null. Texts such as ``9.5d`` are not numbers."""
+def parse_number(c: ColumnLike) -> Column:
+    """Number, else null. Texts such as ``9.5d`` or ``NaN``, which a cast would take, are none."""
     text = col(c).cast("string")
-    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+
+
+def parse_grade(c: ColumnLike, upper: float | None = 10) -> Column:
+    """Number between 1 and ``upper``, else null."""
+    value = parse_number(c)
     in_range = value >= 1
     if upper is not None:
         in_range = in_range & (value <= upper)

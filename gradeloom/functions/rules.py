@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from html.entities import html5, name2codepoint
 
 # ---------------------------------------------------------------- fixed values
 
@@ -158,14 +159,18 @@ PLAIN_LIGATURES = [
     ("þ", "th"), ("Þ", "Th"), ("№", "No"), ("€", "EUR"), ("°", "deg"),
 ]
 
-HTML_ENTITIES = [
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-    ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"),
-]
-
 # ------------------------------------------------------------- end fixed values
 
 
+def html_entities() -> dict[str, str]:
+    """Named character references of HTML and their characters, from the standard table.
+
+    A hard blank is a plain one here, as cells are trimmed and compared as text.
+    """
+    latin = {f"&{name}": text for name, text in html5.items() if name.endswith(";") and len(text) == 1 and text < "\u0250"}
+    return latin | {f"&{name};": chr(point) for name, point in name2codepoint.items()} | {"&nbsp;": " "}
+
+
 def accent_table() -> tuple[str, str]:
     """Arguments for ``translate``: Latin letters to ASCII, combining marks to nothing.
 

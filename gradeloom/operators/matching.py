@@ -64,20 +64,17 @@ def source_keys(schools: DataFrame, name: str, county: str) -> DataFrame:
 
 
 def match_targets(institutions: DataFrame, registry: DataFrame | None = None, high_school: bool = True) -> DataFrame:
-    """Aliases ``(county, code, alias, is_primary)`` that keys are compared with.
+    """Aliases ``(county, code, alias, is_primary, is_near)`` that keys are compared with.
 
-    The institution's own name, one per county and code, and the registry's long names of the
-    same code; in high-school mode only of schools with a high-school level.
+    Institutions' own names (``is_primary``), all of them, and the registry's long names of the
+    same code; in high-school mode only of schools with a high-school level. Near names are
+    looked for among the registry's and one own name per code (``is_near``).
     """
-    own = (
-        institutions.dropna(subset=["nume", "cod_judet", "cod_siiir"])
-        .select(
-            F.col("cod_judet").alias("county"), F.col("cod_siiir").alias("code"),
-            _key("nume", "cod_judet").alias("alias"),
-        )
-        .groupBy(*CODE).agg(F.max("alias").alias("alias"))
-    )
-    targets = own.withColumn("is_primary", F.lit(True))
+    own = institutions.dropna(subset=["nume", "cod_judet", "cod_siiir"]).select(
+        F.col("cod_judet").alias("county"), F.col("cod_siiir").alias("code"), _key("nume", "cod_judet").alias("alias"),
+    ).distinct()
+    last = own.groupBy(*CODE).agg(F.max("alias").alias("last"))
+    targets = own.join(last, CODE).select(*CODE, "alias", F.lit(True).alias("is_primary"), (F.col("alias") == F.col("last")).alias("is_near"))
     if registry is None:
         return targets
     if high_school:
@@ -88,16 +85,23 @@ def match_targets(institutions: DataFrame, registry: DataFrame | None = None, hi
         _key("denumire_lunga_unitate", "judet_pj").alias("alias"),
     )
     extra = official.distinct().join(own.select(*CODE), CODE, "left_semi")
-    return targets.unionByName(extra.withColumn("is_primary", F.lit(False)))
+    return targets.unionByName(extra.withColumn("is_primary", F.lit(False)).withColumn("is_near", F.lit(True)))
+
+
+def codeless_keys(institutions: DataFrame) -> DataFrame:
+    """Keys of institutions without a code: such a school is its own nearest one."""
+    named = institutions.filter("cod_siiir IS NULL").dropna(subset=["nume", "cod_judet"])
+    return named.select(F.col("cod_judet").alias("county"), _key("nume", "cod_judet").alias("key")).distinct()
 
 
 def exact_matches(keys: DataFrame, targets: DataFrame) -> DataFrame:
-    """Keys that equal an institution's own key; of several codes the highest counts."""
+    """Keys that equal an own name of an institution; of several codes the highest counts, and
+    of several keys for a code the first."""
     own = (
         targets.filter("is_primary").groupBy("county", F.col("alias").alias("key"))
         .agg(F.max("code").alias("code"))
     )
-    return keys.join(own, KEY).select(*KEY, "code")
+    return keys.join(own, KEY).groupBy(*CODE).agg(F.min("key").alias("key")).select(*KEY, "code")
 
 
 # -- near codes ---------------------------------------------------------------
@@ -239,16 +243,18 @@ def match_schools(
     schools: DataFrame, name: str, county: str, institutions: DataFrame,
     registry: DataFrame | None = None, high_school: bool = True,
 ) -> DataFrame:
-    """``(county, key, code, dist, tier)`` for distinct school names; tier is null when exact."""
+    """``(county, key, code, dist, tier)`` for distinct school names; tier is null when exact.
+
+    Names of institutions that have no code themselves get none from a neighbour.
+    """
     keys = cut_lineage(source_keys(schools, name, county))
     targets = cut_lineage(match_targets(institutions, registry, high_school))
     exact = cut_lineage(
         exact_matches(keys, targets).withColumns({"dist": F.lit(0), "tier": F.lit(None).cast("int")})
     )
     tiers = rules.HIGH_SCHOOL_TIERS if high_school else rules.MIDDLE_SCHOOL_TIERS
-    fuzzy = fuzzy_matches(
-        keys.join(exact, KEY, "left_anti"), targets.join(exact, CODE, "left_anti"), tiers
-    )
+    asking = keys.join(exact, KEY, "left_anti").join(codeless_keys(institutions), KEY, "left_anti")
+    fuzzy = fuzzy_matches(asking, targets.filter("is_near").join(exact, CODE, "left_anti"), tiers)
     return exact.unionByName(fuzzy)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.functions import rules
-from gradeloom.functions._columns import ColumnLike, bind, col, replace_all, strip
+from gradeloom.functions._columns import ColumnLike, bind, col, strip
 
 RESULT_ROW = r"""(?is)<tr\b[^>]*\bclass\s*=\s*["']?(?:[^"'>]*\s)?tr[12](?=[\s"'>])[^>]*>(.*?)</tr>"""
 TABLE_CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
@@ -37,10 +37,34 @@ def page_count(html: ColumnLike, last: bool = False) -> Column:
     return F.try_element_at(numbers, F.lit(-1)) if last else F.array_max(numbers)
 
 
+def _character(number: Column) -> Column:
+    """Character of a code point; those that are none give the replacement character."""
+    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+
+
+def decoded(text: Column) -> Column:
+    """Text with its character references replaced, each once; unknown ones stay as they are."""
+    named = F.create_map(*[F.lit(x) for pair in rules.html_entities().items() for x in pair])
+
+    def reference(piece: Column) -> Column:
+        decimal = F.regexp_extract(piece, r"^&#([0-9]{1,8});$", 1)
+        hexadecimal = F.regexp_extract(piece, r"^&#[xX]([0-9A-Fa-f]{1,7});$", 1)
+        return (
+            F.when(~piece.startswith("&"), piece)
+            .when(decimal != "", _character(decimal.try_cast("bigint")))
+            .when(hexadecimal != "", _character(F.conv(hexadecimal, 16, 10).try_cast("bigint")))
+            .otherwise(F.coalesce(F.try_element_at(named, piece), piece))
+        )
+
+    pieces = F.regexp_extract_all(text, F.lit(r"(&#?[0-9A-Za-z]+;|[^&]+|&)"), F.lit(1))
+    return F.when(text.contains("&"), F.array_join(F.transform(pieces, reference), "")).otherwise(text)
+
+
 def cell_text(inner: ColumnLike, separator: str = "") -> Column:
     """Text of a cell: its parts between tags, each trimmed, empty ones dropped, joined."""
     text = F.regexp_replace(col(inner), r"(?is)<!--.*?-->|<(script|style)\b.*?</\1>", "")
-    parts = F.transform(F.split(text, r"<[^>]*>"), lambda p: strip(replace_all(p, rules.HTML_ENTITIES)))
+    parts = F.transform(F.split(text, r"<[^>]*>"), lambda p: strip(decoded(p)))
     return F.array_join(F.filter(parts, lambda p: p != ""), separator)
 
 
@@ -90,15 +114,21 @@ def first_line(c: ColumnLike) -> Column:
 
 
 def reorder_two_lines(first: ColumnLike, second: ColumnLike) -> Column:
-    """Older layout of a two-line record, without the ranking columns the first line may have."""
+    """Older layout of a two-line record, without the ranking columns the first line may have.
+
+    The first cell of each span keeps all its lines, the others their first one.
+    """
 
     def span(line: Column, start, stop) -> Column:
         return F.slice(line, start + F.lit(1), stop - start + F.lit(1))
 
+    def kept_whole(cells: Column) -> Column:
+        return F.transform(cells, lambda c, i: F.when(i == 0, strip(c)).otherwise(first_line(c)))
+
     def join_spans(one: Column, two: Column) -> Column:
         extra = F.size(one) - 19
         # Spans of the two lines, in the order of the older files.
-        cells = F.concat(
+        return F.concat(*[kept_whole(s) for s in (
             span(one, F.lit(0), F.lit(1)),
             span(one, extra + 2, extra + 11),
             span(two, F.lit(0), F.lit(3)),
@@ -107,8 +137,7 @@ def reorder_two_lines(first: ColumnLike, second: ColumnLike) -> Column:
             span(one, extra + 15, extra + 15),
             span(two, F.lit(7), F.lit(9)),
             span(one, extra + 16, extra + 18),
-        )
-        return F.transform(cells, first_line)
+        )])
 
     return bind(col(first), lambda one: bind(col(second), lambda two: join_spans(one, two)))
 

@@ -63,11 +63,14 @@ def _placement_codes(rows: DataFrame, schools: Schools) -> DataFrame:
 
 
 def bac_batch(layer: Layer, year: int, schools: Schools | None = None, strict: bool = True) -> DataFrame:
-    """Clean leaving-exam rows, with school codes found by name where asked for."""
+    """Clean leaving-exam rows, with school codes found by name where asked for; of repeated
+    candidates the first may be kept."""
     rows = _accepted(bac_rows(layer.raw, layer.mapping, year, layer.keep_first_by), strict)
     if layer.detect_origin:
         rows = _origin_codes(rows, schools, high_school=True)
-    return rows
+    if layer.keep_first_by:
+        rows = dedupe.keep_first(rows, ["cod_candidat"], layer.keep_first_by)
+    return rows.select(*BAC_COLUMNS)
 
 
 def en_batch(layer: Layer, year: int, schools: Schools | None = None, strict: bool = True) -> DataFrame:
@@ -88,7 +91,7 @@ def apply_batch(
     """Write a batch: replace the year, or update its stored rows by candidate.
 
     An update reads and rewrites one year only. Candidates without a stored row are counted,
-    not inserted.
+    not inserted; several rows of a candidate count once.
     """
     if not update:
         return replace_year(batch, table, year)
@@ -96,8 +99,9 @@ def apply_batch(
     stored = spark.read.parquet(table).filter(F.col(YEAR) == year)
     key = [YEAR, "cod_candidat"]
     new = updates.update_by_key(stored, batch, key, order=order)
-    unknown = updates.unknown_keys(stored, batch, key).count()
-    return {"updated": batch.count() - unknown, "unknown": unknown, **replace_year(new, table, year)}
+    known = batch.select(*key).distinct().join(stored.select(*key).withColumn("_hit", F.lit(True)), key, "left")
+    counts = known.agg(F.count_if("_hit").alias("updated"), F.count_if(F.col("_hit").isNull()).alias("unknown")).first()
+    return {**counts.asDict(), **replace_year(new, table, year)}
 
 
 def load_bac_year(
@@ -107,9 +111,7 @@ def load_bac_year(
     """A leaving-exam year from its layers in order, then the correction list."""
     report = []
     for layer in layers:
-        batch = bac_batch(layer, year, schools, strict)
-        order = layer.keep_first_by or None
-        report.append(apply_batch(spark, batch if order else batch.select(*BAC_COLUMNS), table, year, layer.update, order))
+        report.append(apply_batch(spark, bac_batch(layer, year, schools, strict), table, year, layer.update))
     if corrections is not None:
         stored = spark.read.parquet(table).filter(F.col(YEAR) == year)
         report.append(replace_year(correct_assignments(stored, corrections), table, year))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gradeloom.functions._columns import strip
+from gradeloom.functions.grades import parse_number
 from gradeloom.sources.contracts import ContractError, parse_layout, quoted
 
 BAD_LINE = "_bad_line"
@@ -22,7 +25,8 @@ def _strings(names: list[str]) -> T.StructType:
 
 def _csv(spark: SparkSession, path, names: list[str], header: bool, quoted_newlines: bool) -> DataFrame:
     reader = spark.read.options(**_CSV).option("columnNameOfCorruptRecord", BAD_LINE)
-    return reader.csv(path, schema=_strings(names), header=header, multiLine=quoted_newlines, enforceSchema=True)
+    # With a header, each file's own is held against the names: another order of columns is an error.
+    return reader.csv(path, schema=_strings(names), header=header, multiLine=quoted_newlines, enforceSchema=not header)
 
 
 def csv_header(spark: SparkSession, path, quoted_newlines: bool = True) -> list[str]:
@@ -55,23 +59,42 @@ def read_records(
     raise ContractError(f"unsupported format: {fmt}")
 
 
+def _headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files under the paths by their header, in one job: the first line of the first block of each.
+
+    Headers come to the driver, one for each file; a line break inside a header is an error.
+    """
+    lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    first = (
+        lines.filter("file_block_start = 0").withColumn("place", F.monotonically_increasing_id())
+        .groupBy("file_path").agg(F.min_by("value", "place").alias("line"))
+    )
+    files: dict[tuple[str, ...], list[str]] = {}
+    for path, line in sorted(tuple(r) for r in first.collect()):
+        if line.count('"') % 2:
+            raise ContractError(f"line break in the header of {path}")
+        names = next(csv.reader([line.removeprefix("\ufeff")]), [""])
+        if len(set(names)) != len(names):
+            raise ContractError(f"repeated column names in {path}")
+        files.setdefault(tuple(names), []).append(path)
+    return files
+
+
 def read_many(spark: SparkSession, paths: list[str], fmt: str = "csv", **options) -> DataFrame:
-    """One set from many files, with the file each row came from.
+    """One set from many files or folders, with the file each row came from.
 
-    JSON files go through one scan. CSV headers may differ between files, so each distinct
-    header gets one scan and the parts are joined by name.
+    JSON files go through one scan. CSV headers may differ between files, also inside a folder:
+    each distinct header gets one scan and the parts are joined by name.
     """
     if fmt == "json":
-        df = read_records(spark, paths, "json", **options)
-        return df.withColumn("source_file", F.input_file_name())
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    newlines = options.get("quoted_newlines", True)
-    for path in paths:
-        by_header.setdefault(tuple(csv_header(spark, path, newlines)), []).append(path)
-    merged = None
-    for names, group in by_header.items():
-        part = _csv(spark, group, list(names), True, newlines).withColumn("source_file", F.input_file_name())
+        df = spark.read.json(paths, multiLine=not options.get("lines", False), primitivesAsString=True)
+        return df.select("*", F.col("_metadata.file_path").alias("source_file"))
+    newlines, merged = options.get("quoted_newlines", True), None
+    for names, group in _headers(spark, paths).items():
+        part = _csv(spark, group, list(names), True, newlines).select("*", F.col("_metadata.file_path").alias("source_file"))
         merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
+    if merged is None:
+        raise ContractError("no file with a header row")
     return merged
 
 
@@ -107,7 +130,7 @@ def read_typed_csv(
     cells = []
     for column in layout:
         cell = quoted(column.name)
-        value = cell.try_cast("double") if column.kind == "num" else F.nullif(strip(cell), F.lit(""))
+        value = parse_number(cell) if column.kind == "num" else F.nullif(strip(cell), F.lit(""))
         cells.append(value.alias(column.name))
     return raw.select(*cells, BAD_LINE)
 

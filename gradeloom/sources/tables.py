@@ -7,10 +7,15 @@ executor or a failed job leaves the old rows in place.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import time
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 YEAR = "an"
+FOREIGN_YEAR = "rows of another year than"
 
 
 class EmptyBatchError(ValueError):
@@ -18,9 +23,13 @@ class EmptyBatchError(ValueError):
 
 
 def replace_year(df: DataFrame, path: str, year: int) -> dict[str, int]:
-    """Replace one year of a fact table; returns how many rows went and came."""
+    """Replace one year of a fact table; returns how many rows went and came.
+
+    A row of another year, or of none, fails the write before anything is replaced.
+    """
     spark = df.sparkSession
-    rows = df.filter(F.col(YEAR) == year)
+    other = F.raise_error(F.concat(F.lit(f"{FOREIGN_YEAR} {year}: "), F.coalesce(F.col(YEAR).cast("string"), F.lit("null"))))
+    rows = df.filter(F.when(F.col(YEAR).eqNullSafe(F.lit(year)), True).otherwise(other.cast("boolean")))
     old = count_year(spark, path, year)
     seen = Observation("replace_year")
     (
@@ -36,37 +45,43 @@ def replace_year(df: DataFrame, path: str, year: int) -> dict[str, int]:
     return {"deleted": old, "inserted": seen.get["n"]}
 
 
-def _folder(spark, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
 
 
-def count_year(spark, path: str, year: int) -> int:
+def count_year(spark: SparkSession, path: str, year: int) -> int:
     """Rows stored for a year, zero when there is no table yet."""
-    folder, files = _folder(spark, path)
-    if not files.exists(folder):
-        return 0
-    return spark.read.parquet(path).filter(F.col(YEAR) == year).count()
+    stored = _stored(spark, path)
+    return 0 if stored is None else stored.filter(F.col(YEAR) == year).count()
 
 
 def replace_table(df: DataFrame, path: str) -> int:
     """Replace a whole table, also when ``df`` reads from it; returns the number of rows.
 
-    The new rows are written in full beside the table before the folders are swapped.
+    The new rows are written in full to a folder of their own, then one row is added to the list
+    of versions. Until that is committed the old version counts, whatever fails; nothing is ever
+    moved or deleted. Old versions stay until the owner of the folder removes them.
     """
-    spark = df.sparkSession
-    seen = Observation("replace_table")
-    beside = path.rstrip("/") + ".next"
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(beside)
-    if not seen.get["n"]:
+    if df.isEmpty():
         raise EmptyBatchError("no rows")
-    old, files = _folder(spark, path)
-    files.delete(old, True)
-    if not files.rename(_folder(spark, beside)[0], old):
-        raise OSError(f"could not move {beside} to {path}")
+    spark, version, seen = df.sparkSession, uuid.uuid4().hex, Observation("replace_table")
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{path}/rows-{version}")
+    row = spark.createDataFrame([(version, time.time_ns(), seen.get["n"])], "version string, at long, n long")
+    row.coalesce(1).write.mode("append").parquet(f"{path}/versions")
     return seen.get["n"]
 
 
+def current_table(spark: SparkSession, path: str) -> DataFrame:
+    """The last version of a table that is replaced as a whole."""
+    newest = spark.read.parquet(f"{path}/versions").agg(F.max_by("version", F.struct("at", "version"))).first()[0]
+    return spark.read.parquet(f"{path}/rows-{newest}")
+
+
 def write_csv(df: DataFrame, path: str, order: list[str], drop_order: bool = True) -> None:
     """Headed CSV parts whose names follow the given row order."""
     rows = df.orderBy(*order)

@@ -116,13 +116,18 @@ def test_projection(spark):
 def test_replace_year(spark, tmp_path):
     path = str(tmp_path / "facts")
     rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "an int, v string")
-    assert tables.replace_year(rows, path, 1) == {"deleted": 0, "inserted": 2}
-    assert tables.replace_year(rows, path, 2) == {"deleted": 0, "inserted": 1}
+    one, two = rows.filter("an = 1"), rows.filter("an = 2")
+    assert tables.replace_year(one, path, 1) == {"deleted": 0, "inserted": 2}
+    assert tables.replace_year(two, path, 2) == {"deleted": 0, "inserted": 1}
     stored = spark.read.parquet(path).filter("an = 1 and v = 'a'").withColumn("v", F.lit("z"))
     assert tables.replace_year(stored, path, 1) == {"deleted": 2, "inserted": 1}
     assert sorted((r.an, r.v) for r in spark.read.parquet(path).collect()) == [(1, "z"), (2, "c")]
     with pytest.raises(tables.EmptyBatchError):
         tables.replace_year(rows.filter("an = 3"), path, 3)
+    for other in (rows, spark.createDataFrame([(1, "q"), (None, "r")], "an int, v string")):
+        with pytest.raises(Exception, match=tables.FOREIGN_YEAR):
+            tables.replace_year(other, path, 1)
+    assert sorted((r.an, r.v) for r in spark.read.parquet(path).collect()) == [(1, "z"), (2, "c")]
     pruned = readers.read_table(spark, path, ["v"], F.col("an") == 2)
     assert [r.v for r in pruned.collect()] == ["c"]
 
@@ -130,11 +135,12 @@ def test_replace_year(spark, tmp_path):
 def test_replace_table_from_itself(spark, tmp_path):
     path = str(tmp_path / "dim")
     assert tables.replace_table(spark.range(5).select("id"), path) == 5
-    assert tables.replace_table(spark.read.parquet(path).filter("id > 2"), path) == 2
-    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [3, 4]
+    assert tables.replace_table(tables.current_table(spark, path).filter("id > 2"), path) == 2
+    assert sorted(r.id for r in tables.current_table(spark, path).collect()) == [3, 4]
     with pytest.raises(tables.EmptyBatchError):
-        tables.replace_table(spark.read.parquet(path).filter("id > 9"), path)
-    assert spark.read.parquet(path).count() == 2
+        tables.replace_table(tables.current_table(spark, path).filter("id > 9"), path)
+    spark.range(9).select("id").write.parquet(f"{path}/rows-broken-off")  # a version that was never listed
+    assert tables.current_table(spark, path).count() == 2
 
 
 def test_csv_and_json_sinks(spark, tmp_path):

@@ -72,7 +72,15 @@ def test_two_line_record_reorder(values, spark):
     for row, extra in zip(df.select(pages.reorder_two_lines(one, two).alias("c")).collect(), (0, 2)):
         a, b = [f"a{i}" for i in range(19 + extra)], [f"b{i}" for i in range(10)]
         p = extra
-        assert row.c == a[0:2] + a[p + 2:p + 12] + b[0:4] + a[p + 12:p + 15] + b[4:7] + [a[p + 15]] + b[7:10] + a[p + 16:p + 19]
+        spans = (a[0:2], a[p + 2:p + 12], b[0:4], a[p + 12:p + 15], b[4:7], [a[p + 15]], b[7:10], a[p + 16:p + 19])
+        # the first cell of a span keeps its lines, the others their first one
+        assert row.c == [cell + ("\nx" if n == 0 and cell[0] == "a" else "") for s in spans for n, cell in enumerate(s)]
+
+
+def test_character_references(values):
+    texts = ["&#259; &#x219;&#X21B; &icirc;&Acirc; &abreve;", "&amp;lt; &amp;#259; &lt;b&gt;", "a & b &; &bogus; &#xZ; &#0; &#55296; &#1114112;", "&#128512;", "", None, "no reference", "x&nbsp;y&quot;&apos;"]
+    wanted = ["ă șț îÂ ă", "&lt; &#259; <b>", "a & b &; &bogus; &#xZ; \ufffd \ufffd \ufffd", "\U0001f600", "", None, "no reference", "x y\"'"]
+    assert values(lambda a: pages.decoded(F.col(a)), texts) == wanted
 
 
 PAGE = """<html><!-- <tr class="tr1"><td>no</td></tr> --><input type=hidden name="__VIEWSTATE" value="a&b"/>
