@@ -30,7 +30,7 @@ WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{BLANK
 #: Chunks that are remembered before the memory starts anew: some 60 MB.
 REMEMBERED = 400_000
 #: Characters of text that are encoded in one go.
-GO = 4_000_000
+GO = 1_000_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -232,14 +232,15 @@ def encoded(docs: DataFrame, vocabulary: str) -> DataFrame:
         for batch in found:
             encoder = encoder or Encoder(Vocabulary(content.value))
             texts = batch.column("text").to_pylist()
-            both = list(encoder.each(texts))
-            lengths = np.cumsum([0, *(len(own) for own, _ in both)]).astype(np.int32)
-            flat = np.concatenate([own for own, _ in both] or [np.zeros(0)]).astype(np.int32)
-            exact = [decoded == text for text, (_, decoded) in zip(texts, both, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "source", "lang")), pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat)), pa.array(exact, pa.bool_())],
-                names=["doc_id", "source", "lang", "ids", "exact"],
-            )
+            for a, b in in_goes(texts):
+                both = list(encoder.each(texts[a:b]))
+                lengths = np.cumsum([0, *(len(own) for own, _ in both)]).astype(np.int32)
+                flat = np.concatenate([own for own, _ in both]).astype(np.int32)
+                exact = [decoded == text for text, (_, decoded) in zip(texts[a:b], both, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(a, b - a) for c in ("doc_id", "source", "lang")), pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat)), pa.array(exact, pa.bool_())],
+                    names=["doc_id", "source", "lang", "ids", "exact"],
+                )
 
     rows = id_and_text(docs, "source", "lang")
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("doc_id", "source", "lang"))
