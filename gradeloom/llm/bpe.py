@@ -13,6 +13,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -113,6 +114,14 @@ def gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
+class Codes(dict):
+    """Running numbers of chunks; a chunk that is asked for the first time gets the next one."""
+
+    def __missing__(self, chunk: str) -> int:
+        code = self[chunk] = len(self)
+        return code
+
+
 class Encoder:
     """Encodes texts with a vocabulary and remembers chunks."""
 
@@ -120,18 +129,16 @@ class Encoder:
         self.vocabulary = vocabulary
         marks = vocabulary.special
         self.split = re.compile("(" + "|".join(re.escape(m) for m in sorted(marks, key=len, reverse=True)) + ")") if marks else None
-        self.known: dict[str, int] = {}
         self._forget()
 
     def _forget(self) -> None:
-        self.known = {}
+        self.known = Codes(zip(self.vocabulary.special, range(len(self.vocabulary.special)), strict=True))
         self.ids = np.zeros(0, dtype=np.int64)
         self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        for text, i in self.vocabulary.special.items():
-            self._add([text], np.array([i]), np.array([1]))
+        marks = np.array(list(self.vocabulary.special.values()), dtype=np.int64)
+        self._add(marks, np.ones(len(marks), dtype=np.int64))
 
-    def _add(self, chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks)), strict=True))
+    def _add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
         self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(lengths) - lengths]
         self.ids, self.lengths = np.r_[self.ids, ids], np.r_[self.lengths, lengths]
 
@@ -149,7 +156,7 @@ class Encoder:
         starts = np.cumsum(lengths) - lengths
         used = np.array([distinct[w] for p in parts for w in p], dtype=np.int64)
         total = np.add.reduceat(lengths[used], np.cumsum([0, *map(len, parts)])[:-1])
-        self._add(chunks, ids[gathered(starts[used], lengths[used])], total)
+        self._add(ids[gathered(starts[used], lengths[used])], total)
 
     def _chunks(self, text: str) -> list[str]:
         if self.split is None or not any(mark in text for mark in self.vocabulary.special):
@@ -162,10 +169,10 @@ class Encoder:
         flat = [c for own in chunks for c in own]
         if len(self.known) > REMEMBERED:
             self._forget()
-        new = [c for c in dict.fromkeys(flat) if c not in self.known]
-        if new:
-            self._learn(new)
+        before = len(self.known)
         codes = np.fromiter(map(self.known.__getitem__, flat), dtype=np.int64, count=len(flat))
+        if len(self.known) > before:
+            self._learn(list(islice(self.known, before, None)))
         lengths = self.lengths[codes]
         ends = np.r_[0, np.cumsum(lengths)]
         counts = np.cumsum([0, *map(len, chunks)])

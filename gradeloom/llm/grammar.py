@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gradeloom.llm.bpe import Encoder, byte_letters, gathered, in_goes
+from gradeloom.llm.bpe import Codes, Encoder, byte_letters, gathered, in_goes
 from gradeloom.llm.common import id_and_text
 from gradeloom.session import cut_lineage
 
@@ -37,17 +37,18 @@ FRACTION = 16
 _MAGIC = b"RPG1"
 _HEAD = "<4sIIIQI"
 _BLANKS = re.compile(r"[^\t-\r ]+")
-#: Characters of Latin scripts that no normalisation joins and whose lower case is one character.
-_LATIN = re.compile(r"[\x21-\x7e\xa1-\xff]+")
-_LETTERS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")
-_WORD_AND_STOP = re.compile(r"(.*[a-z\xdf-\xf6\xf8-\xff])([.,]+)")
+#: Letters of Latin-1 in lower case. No normalisation changes or joins them.
+_LETTER = "a-z\xdf-\xf6\xf8-\xff"
+_LETTERS = re.compile(f"[{_LETTER}]+")
+#: Words of letters alone and the full stops and commas after them apart, all else between blanks whole.
+_PIECES = re.compile(rf"(?<![^\t-\r ])[{_LETTER}]+(?=[.,]*(?![^\t-\r .,]))|(?<=[{_LETTER}])[.,]+(?![^\t-\r ])|[^\t-\r ]+")
 
 
 class WordEncoder(Encoder):
     """Encodes with the tokenizers library, a chunk between blanks at a time, and remembers chunks.
 
-    The tokenizer drops blanks, so the ids of a text are those of its chunks. Full stops and commas
-    after a letter are words of their own there, and case makes no difference. Words of Latin
+    The tokenizer drops blanks, so the ids of a text are those of its chunks. In Latin-1 texts case
+    makes no difference, and full stops and commas after a letter are words of their own. Words of Latin
     letters go to the library's model directly, since nothing else would change or split them.
     """
 
@@ -60,25 +61,24 @@ class WordEncoder(Encoder):
         of_byte = {b: c for c, b in byte_letters().items()}
         #: What the model sees of letters that are no ASCII: the letters that stand for their bytes.
         self.letters = {c: "".join(of_byte[b] for b in chr(c).encode("utf-8")) for c in range(0xDF, 0x100)}
-        self.known: dict[str, int] = {}
         self._forget()
 
     def _forget(self) -> None:
-        self.known = {}
+        self.known = Codes()
         self.ids = np.zeros(0, dtype=np.int64)
         self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
     def _chunks(self, text: str) -> list[str]:
-        return _BLANKS.findall(text)
-
-    def _parts(self, chunk: str) -> list[str]:
-        if "<|" in chunk or not (chunk.isascii() or _LATIN.fullmatch(chunk)):  # the marks of special ids are case-sensitive
-            return [chunk]
-        low = chunk.lower()
-        if low[-1] in ".,":
-            split = _WORD_AND_STOP.fullmatch(low)
-            return list(split.groups()) if split else [low]
-        return [low]
+        if "<|" in text:  # the marks of special ids are case-sensitive
+            return _BLANKS.findall(text)
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return _BLANKS.findall(text)
+        return _PIECES.findall(text.lower())
+
+    def _learn(self, chunks: list[str]) -> None:
+        self._add(*self._ids(chunks))
 
     def _ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = []
