@@ -40,6 +40,8 @@ _BLANKS = re.compile(r"[^\t-\r ]+")
 #: Letters of Latin-1 in lower case. No normalisation changes or joins them.
 _LETTER = "a-z\xdf-\xf6\xf8-\xff"
 _LETTERS = re.compile(f"[{_LETTER}]+")
+#: Letters and other characters apart: right where no apostrophe or further letter is found.
+_RUNS = re.compile(rf"[{_LETTER}]+|[^{_LETTER}\t-\r ]+")
 #: Words of letters alone and the full stops and commas after them apart, all else between blanks whole.
 _PIECES = re.compile(rf"(?<![^\t-\r ])[{_LETTER}]+(?=[.,]*(?![^\t-\r .,]))|(?<=[{_LETTER}])[.,]+(?![^\t-\r ])|[^\t-\r ]+")
 
@@ -48,7 +50,7 @@ class WordEncoder(Encoder):
     """Encodes with the tokenizers library, a chunk between blanks at a time, and remembers chunks.
 
     The tokenizer drops blanks, so the ids of a text are those of its chunks. In Latin-1 texts case
-    makes no difference, and full stops and commas after a letter are words of their own. Words of Latin
+    makes no difference, and letters are never joined with other characters but after an apostrophe. Words of Latin
     letters go to the library's model directly, since nothing else would change or split them.
     """
 
@@ -75,7 +77,7 @@ class WordEncoder(Encoder):
             text.encode("latin-1")
         except UnicodeEncodeError:
             return _BLANKS.findall(text)
-        return _PIECES.findall(text.lower())
+        return (_PIECES if any(c in text for c in "'ªµº") else _RUNS).findall(text.lower())
 
     def _learn(self, chunks: list[str]) -> None:
         self._add(*self._ids(chunks))
