@@ -285,8 +285,8 @@ BAC_MAPPING = {
 }
 
 
-def bac_input_rows(spark: SparkSession, sf: str) -> DataFrame:
-    raw = views.results(spark, sf).withColumns({
+def bac_records(spark: SparkSession, sf: str) -> DataFrame:
+    return views.results(spark, sf).withColumns({
         "specializare": F.col("repartizat_specializare"),
         "medie": F.when(F.col("ord") % 50 == 7, "5.55").otherwise(""),
         "lm_cont": F.lit(""),
@@ -294,7 +294,10 @@ def bac_input_rows(spark: SparkSession, sf: str) -> DataFrame:
         "disciplina_alegere": F.lit(""),
         "limba_moderna": F.col("limba_materna"),
     }).withColumnRenamed("an", "year")
-    return rows.bac_rows(raw, BAC_MAPPING, F.col("year"), keep=["year", "ord"])
+
+
+def bac_input_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return rows.bac_rows(bac_records(spark, sf), BAC_MAPPING, F.col("year"), keep=["year", "ord"])
 
 
 @query("bac_rows", ov.sql(ov.RESULTS, ov.MARKS, _REJECT_RAW, select=f"""

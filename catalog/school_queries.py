@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalog import expression_queries as ex
 from catalog import oracle_views as ov
 from catalog import views
 from catalog.registry import as_double, query
 from gradeloom.functions import grades, names
+from gradeloom.functions import registry as registry_cells
 from gradeloom.operators import dimension, matching
 from gradeloom.plans import loads, rows
+from gradeloom.session import shared_folder
 
 # -- matching -----------------------------------------------------------------
 
@@ -58,14 +61,63 @@ def fuzzy_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return matching.nearest_codes(*keys_and_targets(spark, sf), tenths=4, limit=1).select("county", "key", "dist", "code")
 
 
-@query("fuzzy_match")
+def _assigned(widest: int, first: int, high_school: bool) -> str:
+    """Exact matches, then rounds of the near pairs: a recursion whose rows are the pairs still
+    open (won is false) and those settled. A round without a winner leads to the next tier."""
+    keys = _KEYS if high_school else _KEYS.replace("WHERE stare_liceal IS NOT NULL", "")
+    views_ = ",".join(v.strip() for v in (ov.INSTITUTIONS, ov.REGISTRY, ov.SOURCE_SCHOOLS, keys))
+    return f"""WITH RECURSIVE {views_},
+codeless AS (SELECT DISTINCT cod_judet AS county, {ov.match_key('nume', 'cod_judet')} AS key FROM institutions WHERE cod_siiir IS NULL),
+asking AS (SELECT county, key FROM keys ANTI JOIN exact USING (county, key) ANTI JOIN codeless USING (county, key)),
+free AS (SELECT county, code, alias FROM targets ANTI JOIN exact USING (county, code) WHERE is_near),
+pairs AS MATERIALIZED (SELECT county, key, code, min(levenshtein(key, alias))::int AS dist FROM asking JOIN free USING (county)
+  WHERE levenshtein(key, alias) <= length(key) * {widest} // 10 GROUP BY ALL),
+r AS (
+  SELECT {first} AS tier, county, key, code, dist, false AS won FROM pairs
+  UNION ALL (
+  WITH cur AS (SELECT * FROM r WHERE NOT won),
+  asked AS (SELECT county, key, any_value(tier) AS tier, min((dist, code)) AS b FROM cur GROUP BY county, key),
+  taken AS (SELECT county, b[2] AS code, any_value(tier) AS tier, min((b[1], key)) AS w FROM asked
+    WHERE b[1] * 10 <= length(key) * tier GROUP BY county, b[2]),
+  winners AS (SELECT tier, county, w[2] AS key, code, w[1] AS dist FROM taken)
+  SELECT tier, county, key, code, dist, true FROM winners
+  UNION ALL
+  SELECT CASE WHEN EXISTS (SELECT 1 FROM winners) THEN tier ELSE tier + 1 END, county, key, code, dist, false
+  FROM cur ANTI JOIN winners USING (county, key) ANTI JOIN winners w2 USING (county, code)
+  WHERE tier < {widest} OR EXISTS (SELECT 1 FROM winners)))
+SELECT county, key, code, 0 AS dist, NULL::int AS tier FROM exact
+UNION ALL SELECT county, key, code, dist, tier FROM r WHERE won"""
+
+
+@query("fuzzy_match", _assigned(4, 1, True))
 def fuzzy_match(spark: SparkSession, sf: str) -> DataFrame:
-    """One-to-one assignment, exact and then by tiers. Iterative, so no SQL form."""
+    """One-to-one assignment, exact and then by tiers."""
     return matching.match_schools(
         views.source_schools(spark, sf), "nume", "cod_judet", views.institutions(spark, sf), views.registry(spark, sf)
     )
 
 
+@query("equal_match", _assigned(0, 0, False))
+def equal_match(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in middle-school mode: equal names only, of all schools of the registry."""
+    return matching.match_schools(
+        views.source_schools(spark, sf), "nume", "cod_judet", views.institutions(spark, sf), views.registry(spark, sf), high_school=False
+    )
+
+
+@query("placement_codes", ov.sql(ov.INSTITUTIONS, ov.REGISTRY, ov.SOURCE_SCHOOLS, _KEYS, select=f"""
+SELECT p.id, p.nume, p.cod_judet, e.code
+FROM (SELECT id, CASE WHEN id % 9 <> 0 THEN nume END AS nume, cod_judet FROM institutions) p
+LEFT JOIN exact e ON e.county = p.cod_judet AND e.key = {ov.match_key('p.nume', 'p.cod_judet')}"""))
+def placement_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Write-back of placement schools: the old code always goes, null where nothing matches."""
+    matches = matching.exact_matches(*keys_and_targets(spark, sf))
+    facts = views.institutions(spark, sf).select(
+        "id", F.when(F.col("id") % 9 != 0, F.col("nume")).alias("nume"), "cod_judet", F.lit("old").alias("code")
+    )
+    return matching.attach_codes(facts, matches, "nume", "cod_judet", "code", only_missing=False)
+
+
 @query("matched_codes", ov.sql(ov.INSTITUTIONS, ov.REGISTRY, ov.SOURCE_SCHOOLS, _KEYS, select=f"""
 SELECT p.id, p.nume, p.cod_judet, coalesce(CASE WHEN p.id % 7 = 0 THEN 'own' END, e.code) AS code
 FROM institutions p LEFT JOIN exact e ON e.county = p.cod_judet AND e.key = {ov.match_key('p.nume', 'p.cod_judet')}"""))
@@ -551,7 +603,8 @@ def old_admission_update(spark: SparkSession, sf: str) -> DataFrame:
 , keyed AS (SELECT DISTINCT cod_judet AS county, nume, {ov.match_key('nume', 'cod_judet')} AS key FROM source_schools),
 own AS (SELECT *, alias = max(alias) OVER (PARTITION BY county, code) AS is_near FROM (
   SELECT DISTINCT cod_judet AS county, cod_siiir AS code, {ov.match_key('nume', 'cod_judet')} AS alias FROM institutions WHERE cod_siiir IS NOT NULL)),
-exact AS (SELECT county, key, max(code) AS code FROM keyed JOIN own USING (county) WHERE alias = key GROUP BY ALL)
+exact AS (SELECT county, min(key) AS key, code FROM (
+  SELECT county, key, max(code) AS code FROM keyed JOIN own USING (county) WHERE alias = key GROUP BY ALL) GROUP BY county, code)
 SELECT county AS unitate_cod_judet, nume AS unitate_nume, code AS unitate_siiir FROM keyed LEFT JOIN exact USING (county, key)
 """))
 def en_year(spark: SparkSession, sf: str) -> DataFrame:
@@ -563,3 +616,56 @@ def en_year(spark: SparkSession, sf: str) -> DataFrame:
     schools = loads.Schools(views.institutions(spark, sf))
     batch = loads.en_batch(layer, 1997, schools)
     return batch.select("unitate_cod_judet", "unitate_nume", "unitate_siiir")
+
+
+_LATE = "late AS (SELECT DISTINCT l_orderkey AS ord FROM lineitem WHERE l_quantity = 50)"
+
+
+@query("bac_year_load", ov.sql(ov.RESULTS, ov.MARKS, ex._REJECT_RAW, _LATE, select=f"""
+SELECT an, regexp_extract(cod_candidat, '([0-9]+)', 1) AS cod_candidat, {ov.SEX} AS sex, {ov.EARLIER} AS promotie_anterioara,
+  CASE WHEN late.ord IS NULL THEN {ov.fixed_code('unitate_siiir')} END AS unitate_siiir, lang AS limba_materna, lr AS lr_final,
+  lm_f AS lm_final, dob AS do_final, da AS da_final, CASE WHEN ord % 50 = 7 THEN 5.55 ELSE medie END AS medie, {ov.RESULT_LABEL} AS rezultat
+FROM means JOIN checked USING (ord) LEFT JOIN late USING (ord) WHERE an = 1997 AND len(why) = 0"""))
+def bac_year_load(spark: SparkSession, sf: str) -> DataFrame:
+    """A leaving-exam year loaded and read back: bad rows set aside, repeated candidates dropped,
+    then the corrections of the year."""
+    records = ex.bac_records(spark, sf).filter("year = 1997")
+    again = records.filter(F.col("ord") % 3 == 0).withColumns({"sex": F.when(F.col("sex") == "x", "x").otherwise("f"), "seq": F.lit(2)})
+    raw = records.withColumn("seq", F.lit(1)).unionByName(again)
+    listed = views.table(spark, sf, "lineitem").filter("l_quantity = 50").select(F.col("l_orderkey").alias("ord"))
+    late = records.join(listed, "ord").select(F.col("year").alias("an"), F.regexp_extract("cod_candidat", "([0-9]+)", 1).alias("cod_candidat"))
+    path = shared_folder(spark, "bac")
+    layer = loads.Layer(raw, ex.BAC_MAPPING, keep_first_by=["seq"])
+    loads.load_bac_year(spark, [layer], 1997, path, corrections=late, strict=False)
+    return spark.read.parquet(path).select(
+        "an", "cod_candidat", "sex", "promotie_anterioara", "unitate_siiir", "limba_materna",
+        *as_double("lr_final", "lm_final", "do_final", "da_final", "medie"), "rezultat",
+    )
+
+
+@query("old_en_first_load", ov.sql(ov.RESULTS, ov.MARKS, _OLD_EN, select="""
+, first AS (SELECT id_scoala AS id, arg_min(nume_scoala, ord) AS nume, min((ord, cod_siiir))[2] AS cod_siiir FROM old_en
+  WHERE an = 1997 GROUP BY id_scoala)
+SELECT id, nume, cod_siiir, n FROM first JOIN (SELECT id_scoala AS id, count(*) AS n FROM old_en GROUP BY ALL) USING (id)"""))
+def old_en_first_load(spark: SparkSession, sf: str) -> DataFrame:
+    """The first load of a year: its rows replace those stored, and the dimension grows from
+    nothing by the year's schools. Schools with the number of their rows afterwards."""
+    rows_of = rows.old_en_rows(old_en_records(spark, sf), F.col("an"), keep=["ord"])
+    base = rows_of.drop("nume_scoala", "cod_siiir", "ord")
+    batch = rows_of.filter("an = 1997")
+    nothing = batch.filter(F.lit(False)).select(F.col("id_scoala").alias("id"), F.col("nume_scoala").alias("nume"), "cod_siiir")
+    facts, grown = loads.old_en_year(base, batch, nothing, ["ord"], update=False)
+    return grown.join(facts.groupBy(F.col("id_scoala").alias("id")).agg(F.count("*").alias("n")), "id").select("id", "nume", "cod_siiir", "n")
+
+
+@query("change_stamp", ov.sql(_GROWN, select="""
+SELECT coalesce(d.id, b.id) AS id, d.id IS NULL AS stamped FROM dim d FULL JOIN batch b ON b.id = d.id"""))
+def change_stamp(spark: SparkSession, sf: str) -> DataFrame:
+    """Schools added to the dimension carry the time of the change, within the last hour; old ones none."""
+    old = _dimension(spark, sf).withColumn("last_updated", F.lit(None).cast("bigint"))
+    new = dimension.grow_dimension(old.drop("last_updated"), _batch_schools(spark, sf), ["o_orderkey"], insert_only=True)
+    stamped = new.join(old.select("id", F.lit(True).alias("_old")), "id", "left").withColumn(
+        "last_updated", F.when(F.col("_old").isNull(), registry_cells.change_stamp())
+    )
+    age = F.unix_millis(F.current_timestamp()) - F.col("last_updated")
+    return stamped.select("id", F.coalesce(age.between(0, 3_600_000), F.lit(False)).alias("stamped"))

@@ -219,6 +219,18 @@ def replace_year(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).select("an", "cod", "status", "price")
 
 
+@query("replaced_table", """
+SELECT c_custkey AS id, 'new ' || c_name AS name FROM customer WHERE c_custkey % 3 <> 0""")
+def replaced_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table stored, then replaced as a whole by rows made from itself."""
+    path = shared_folder(spark, "table")
+    tables.replace_table(views.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), path)
+    stored = tables.current_table(spark, path)
+    changed = F.concat(F.lit("new "), "name")
+    tables.replace_table(stored.filter(F.col("id") % 3 != 0).withColumn("name", changed), path)
+    return tables.current_table(spark, path)
+
+
 @query("layered_year", ov.sql(_BASE, _BATCH, select="""
 SELECT base.an, base.cod, CASE WHEN batch.cod IS NULL THEN base.status ELSE batch.status END AS status,
   CASE WHEN batch.cod IS NULL THEN base.price ELSE batch.price END AS price, base.note
@@ -292,6 +304,18 @@ def typed_csv(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_typed_csv(spark, path, ["nr,num", "price,num", "name,str"]).drop(readers.BAD_LINE)
 
 
+@query("bad_lines", """
+SELECT o_orderkey::double AS nr, CASE WHEN o_orderkey % 10 <> 1 THEN o_orderpriority END AS name,
+  o_orderkey % 10 IN (0, 1) AS bad FROM orders""")
+def bad_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with a cell too many or too few are told from good ones."""
+    path, key = shared_folder(spark, "lines"), F.col("o_orderkey")
+    rest = F.when(key % 10 == 1, "").otherwise(F.concat(F.lit(","), "o_orderpriority", F.when(key % 10 == 0, ",more").otherwise("")))
+    views.table(spark, sf, "orders").select(F.concat(key.cast("string"), rest)).write.text(path)
+    read = readers.read_typed_csv(spark, path, ["nr,num", "name,str"])
+    return read.select("nr", "name", F.col(readers.BAD_LINE).isNotNull().alias("bad"))
+
+
 @query("header_promotion", """
 SELECT cast(p_partkey AS string) AS "Nr.", p_name AS "Denumire Unitate", p_brand AS "Cod SIIIR" FROM part""")
 def header_promotion(spark: SparkSession, sf: str) -> DataFrame:

@@ -41,6 +41,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK_ALIASES = 1024
 TILE_KEYS = 4096
 LISTED_CODES = 32
+#: Near pairs of a county that one task settles to the end. Larger counties, and those with cut
+#: lists, are settled round by round; both ways give the same result.
+SETTLED_PAIRS = 200_000
 
 KEY = ["county", "key"]
 CODE = ["county", "code"]
@@ -204,12 +207,34 @@ def _still_live(live: DataFrame, won: DataFrame) -> DataFrame:
     return live.join(won.select(*KEY), KEY, "left_anti").join(won.select(*CODE), CODE, "left_anti")
 
 
+def _settle_county(tiers: list[int]):
+    """Function over all near pairs of a county: the same rounds as ``_settle``, to the end."""
+
+    def settle(pairs: pd.DataFrame) -> pd.DataFrame:
+        live = pairs.assign(length=pairs["key"].str.len())
+        found = []
+        for tenths in tiers:
+            while len(live):
+                asked = live.sort_values(["dist", "code"]).drop_duplicates("key")
+                asked = asked[asked["dist"] * 10 <= asked["length"] * tenths]
+                won = asked.sort_values(["dist", "key"]).drop_duplicates("code")
+                if won.empty:
+                    break
+                found.append(won.assign(tier=tenths))
+                live = live[~live["key"].isin(won["key"]) & ~live["code"].isin(won["code"])]
+        empty = pairs.iloc[:0].assign(tier=0)
+        return pd.concat(found or [empty])[["county", "key", "code", "dist", "tier"]].astype({"dist": "int32", "tier": "int32"})
+
+    return settle
+
+
 def fuzzy_matches(
     keys: DataFrame, targets: DataFrame, tiers: list[int] = rules.HIGH_SCHOOL_TIERS, limit: int = LISTED_CODES
 ) -> DataFrame:
     """One-to-one ``(county, key, code, dist, tier)`` for keys and codes still unmatched.
 
-    Runs jobs: the pairs that are left after each round are written to the shared folder.
+    Counties with few near pairs are settled in one task each. The pairs of the others are
+    written to the shared folder after each round.
     """
     keys, targets = cut_lineage(keys), cut_lineage(targets)
     widest = max(tiers)
@@ -217,11 +242,16 @@ def fuzzy_matches(
     def look_up(some_keys: DataFrame, free: DataFrame) -> DataFrame:
         return nearest_codes(some_keys, free, widest, limit) if widest else equal_codes(some_keys, free)
 
-    live = cut_lineage(look_up(keys, targets))
-    lists_cut = not live.filter("cut").isEmpty()
-    settled = keys.filter(F.lit(False)).select(
-        *KEY, F.lit("").alias("code"), F.lit(0).alias("dist"), F.lit(0).alias("tier")
-    )
+    near = cut_lineage(look_up(keys, targets))
+    large = F.count("*") > SETTLED_PAIRS
+    by_rounds = near.groupBy("county").agg(large.alias("large"), F.bool_or("cut").alias("cut")).filter("large OR cut").collect()
+    counties = F.col("county").isin([r["county"] for r in by_rounds])
+    settled = cut_lineage(near.filter(~counties).select(*KEY, "code", "dist").groupBy("county").applyInPandas(
+        _settle_county(tiers), "county string, key string, code string, dist int, tier int"
+    ))
+    if not by_rounds:
+        return settled
+    live, lists_cut = near.filter(counties), any(r["cut"] for r in by_rounds)
     for tenths in tiers:
         while True:
             won = cut_lineage(_settle(live, tenths).withColumn("tier", F.lit(tenths)))

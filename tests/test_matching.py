@@ -53,8 +53,10 @@ def random_names(seed, n):
     return ["A_" + "_".join(rng.choices(words, k=rng.choice([1, 2, 3]))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("seed,limit", [(1, 1), (2, 2), (3, 32)])
-def test_fuzzy_equals_brute_force(spark, seed, limit):
+@pytest.mark.parametrize("seed,limit,in_task", [(1, 1, 9999), (2, 2, 9999), (3, 32, 9999), (4, 32, 0), (5, 32, 60)])
+def test_fuzzy_equals_brute_force(spark, monkeypatch, seed, limit, in_task):
+    """In one task or in rounds, and with cut lists."""
+    monkeypatch.setattr(matching, "SETTLED_PAIRS", in_task)
     counties = ["A", "B"]
     keys = sorted({(c, k) for c in counties for k in random_names(seed, 20)})
     aliases = random_names(seed + 100, 36)
@@ -116,6 +118,26 @@ def test_middle_school_mode_needs_equal_names(spark):
     assert [(r.key, r.code) for r in found] == [("AB_LICEUL_MARE", "3")]
 
 
+def test_every_own_name_counts_in_the_exact_pass(spark):
+    schools = spark.createDataFrame(
+        [("Liceul Mare", "AB", "1"), ("Colegiul Nou", "AB", "1"), ("Liceul Mic", "AB", "2")], "nume string, cod_judet string, cod_siiir string"
+    )
+    for high_school in (True, False):
+        for name, code in (("Liceul Mare", "1"), ("Colegiul Nou", "1"), ("Liceul Mic", "2")):
+            facts = spark.createDataFrame([(name, "AB")], "n string, c string")
+            found = matching.match_schools(facts, "n", "c", schools, None, high_school).collect()
+            assert [r.code for r in found] == [code]
+    both = spark.createDataFrame([("Liceul Mare", "AB"), ("Colegiul Nou", "AB")], "n string, c string")
+    assert [(r.key, r.code) for r in matching.match_schools(both, "n", "c", schools.filter("cod_siiir = '1'")).collect()] == [("AB_COLEGIUL_NOU", "1")]
+
+
+def test_a_school_without_a_code_gets_none_from_its_neighbour(spark):
+    schools = spark.createDataFrame([("Liceul Mare Unu", "AB", None), ("Liceul Mare Doi", "AB", "7")], "nume string, cod_judet string, cod_siiir string")
+    facts = spark.createDataFrame([("Liceul Mare Unu", "AB")], "n string, c string")
+    assert matching.match_schools(facts, "n", "c", schools).collect() == []
+    assert matching.codeless_keys(schools).count() == 1
+
+
 def test_backfill(spark):
     schools = spark.createDataFrame(
         [("A_AB", "A", None), ("B_AB", "B", None), ("C_AB", "C", "7")], "id string, nume string, cod_siiir string"

@@ -143,6 +143,31 @@ def test_replace_table_from_itself(spark, tmp_path):
     assert tables.current_table(spark, path).count() == 2
 
 
+def test_headers_that_differ(spark, tmp_path):
+    for name, text in (("x/1.csv", "a,b\n1,2\n"), ("x/2.csv", "b,a\n4,3\n"), ("y/3.csv", "b,a,\"c d\"\n6,5,7\n9,8\n")):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    merged = readers.read_many(spark, [str(tmp_path / "x"), str(tmp_path / "y")])
+    assert sorted((r.a, r.b, r["c d"], r[readers.BAD_LINE]) for r in merged.collect()) == [("1", "2", None, None), ("3", "4", None, None), ("5", "6", "7", None), ("8", "9", None, "9,8")]
+    with pytest.raises(Exception, match="header"):
+        readers.read_records(spark, str(tmp_path / "x")).collect()
+    (tmp_path / "x" / "4.csv").write_text('a,"b\nc"\n1,2\n')
+    with pytest.raises(ContractError, match="line break"):
+        readers.read_many(spark, [str(tmp_path / "x")])
+
+
+def test_json_array(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"a": 1, "b": null},\n {"a": "x", "b": 2.50}]')
+    read = readers.read_many(spark, [str(tmp_path / "a.json")], "json")
+    assert sorted((r.a, r.b, r.source_file.rsplit("/", 1)[1]) for r in read.collect()) == [("1", None, "a.json"), ("x", "2.50", "a.json")]
+
+
+def test_numbers_of_typed_csv(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("9.5d,x\nNaN,y\n 1e1 ,z\n-3,\n")
+    read = readers.read_typed_csv(spark, str(tmp_path / "t.csv"), ["n,num", "s,str"])
+    assert [(r.n, r.s) for r in read.collect()] == [(None, "x"), (None, "y"), (10.0, "z"), (-3.0, None)]
+
+
 def test_csv_and_json_sinks(spark, tmp_path):
     rows = spark.createDataFrame([(2, 1, 'q"\n', "x"), (1, 2, " b ", "y"), (1, 1, None, "z")], "page_no int, row_no int, v string, w string")
     tables.write_csv(rows, str(tmp_path / "csv"), ["page_no", "row_no"])
