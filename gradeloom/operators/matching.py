@@ -40,7 +40,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ALIASES = 1024
 TILE_KEYS = 4096
-LISTED_CODES = 32
+#: Codes listed for a key at first; the length changes no result. Long lists seldom run dry, and a refill costs a job.
+LISTED_CODES = 1000
 #: Near pairs of a county that one task settles to the end. Larger counties, and those with cut
 #: lists, are settled round by round; both ways give the same result.
 SETTLED_PAIRS = 200_000
