@@ -97,6 +97,40 @@ def test_mixed_documents_have_the_words_taken(documents, messy):
     assert got == {d: n for d, n in wanted.items() if n}
 
 
+SKEWED = [(n, prose(n, 4000 - n if n < 4 else 3 + n % 300), "en", "ab"[n % 2]) for n in range(700)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_whole_documents_come_near_the_target(documents, monkeypatch, seed):
+    monkeypatch.setattr(mixing, "SEED", seed)
+    docs = documents(SKEWED)
+    found = mixing.mixed(docs, whole=True).collect()
+    assert len(found) == len(SKEWED) and all(r.taken % r["size"] == 0 for r in found)
+    taken, target = defaultdict(int), {}
+    for r in found:
+        taken["ab"[r.doc_id % 2]] += r.taken
+        target["ab"[r.doc_id % 2]] = r.target
+    for s in "ab":  # within the smallest documents, far below the largest ones of 4,000 words
+        assert abs(taken[s] - target[s]) <= 60, (s, taken[s], target[s])
+
+
+def test_whole_mix_has_only_whole_texts(documents):
+    text = {r[0]: r[1] for r in SKEWED}
+    docs = documents(SKEWED)
+    got = defaultdict(int)
+    for r in mixing.mix_documents(docs, whole=True).collect():
+        assert r.text == text[r.doc_id]
+        got[r.doc_id] += words(r.text)
+    assert got == {r.doc_id: r.taken for r in mixing.mixed(docs, whole=True).collect() if r.taken}
+
+
+def test_a_single_large_document_is_whole_or_absent(documents):
+    rows = rows_of(CASES["full"])
+    sizes = {r[0]: words(r[1]) for r in rows}
+    assert all(r.taken % sizes[r.doc_id] == 0 for r in mixing.mixed(documents(rows), whole=True).collect())
+    assert mixing.mix_documents(documents([]), whole=True).collect() == []
+
+
 def test_empty_table(documents):
     assert mixing.mixed(documents([])).collect() == []
     assert mixing.mix_documents(documents([])).collect() == []
