@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import bpe, exact_dedup, grammar, langid, mixing, quality, secret_scan, simhash, token_counts, winnow
+from gradeloom.llm import bpe, exact_dedup, grammar, langid, mixing, periodic, quality, secret_scan, simhash, token_counts, winnow
 from gradeloom.llm.common import documents
 
 
@@ -75,6 +75,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, quality.learn(docs, labels, ~langid.held_out()))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.summarised(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_exact_dedup": op2_exact_dedup,
@@ -86,6 +90,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 #: DuckDB SQL for the rows of a query, where SQL can say them.
