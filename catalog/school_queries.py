@@ -12,8 +12,9 @@ from catalog.registry import as_double, query
 from gradeloom.functions import grades, names
 from gradeloom.functions import registry as registry_cells
 from gradeloom.operators import dimension, matching
-from gradeloom.plans import loads, rows
+from gradeloom.plans import loads, rows, years
 from gradeloom.session import shared_folder
+from gradeloom.sources.years import YearTable
 
 # -- matching -----------------------------------------------------------------
 
@@ -576,22 +577,23 @@ def old_en_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("old_admission_update", ov.sql(ov.RESULTS, ov.MARKS, ov.COUNTIES, _COUNTY_BY_NUMBER, select=f"""
-SELECT an, cod_candidat, CASE WHEN an = 1997 THEN do_c END AS medie_abs, CASE WHEN an = 1997 THEN lr_c ELSE lr_i END AS medie_adm,
-  CASE WHEN an = 1997 AND repartizat_liceu_nume <> '' THEN {ov.canonical_id("split_part(repartizat_liceu_nume, '<br/>', 1)", 'county', False)} END AS repartizat_id_liceu
-FROM finals JOIN county_of ON i = ord % 42 WHERE an = 1997"""))
+SELECT an, cod_candidat, CASE WHEN ord % 7 <> 0 THEN do_c END AS medie_abs, CASE WHEN ord % 7 <> 0 THEN lr_c ELSE lr_i END AS medie_adm,
+  CASE WHEN ord % 7 <> 0 AND repartizat_liceu_nume <> '' THEN {ov.canonical_id("split_part(repartizat_liceu_nume, '<br/>', 1)", 'county', False)} END AS repartizat_id_liceu
+FROM finals JOIN county_of ON i = ord % 42"""))
 def old_admission_update(spark: SparkSession, sf: str) -> DataFrame:
+    """Admission rows of all years for six sevenths of the candidates."""
     results = views.results(spark, sf)
     none = F.lit(None)
     base = results.select(
         "an", "cod_candidat", none.cast("decimal(12,2)").alias("medie_abs"), grades.parse_grade("lr_init", upper=None).alias("medie_adm"),
         none.cast("string").alias("repartizat_id_liceu"), none.cast("string").alias("repartizat_specializare"),
     )
-    records = results.select(
-        "cod_candidat", "ord", views.county_text(F.col("ord")).alias("judet"), F.col("do_cont").alias("mabs"), F.col("lr_cont").alias("madm"),
+    records = results.filter(F.col("ord") % 7 != 0).select(
+        "an", "cod_candidat", "ord", views.county_text(F.col("ord")).alias("judet"), F.col("do_cont").alias("mabs"), F.col("lr_cont").alias("madm"),
         "repartizat_liceu_nume", "repartizat_specializare",
     )
-    batch = rows.old_admission_rows(records, keep=["ord"])
-    return loads.old_admission_update(base, batch, 1997, ["ord"]).select(
+    batch = rows.old_admission_rows(records, keep=["an", "ord"])
+    return loads.old_admission_update(base, batch, None, ["ord"]).select(
         "an", "cod_candidat", *as_double("medie_abs", "medie_adm"), "repartizat_id_liceu"
     )
 
@@ -625,19 +627,19 @@ _LATE = "late AS (SELECT DISTINCT l_orderkey AS ord FROM lineitem WHERE l_quanti
 SELECT an, regexp_extract(cod_candidat, '([0-9]+)', 1) AS cod_candidat, {ov.SEX} AS sex, {ov.EARLIER} AS promotie_anterioara,
   CASE WHEN late.ord IS NULL THEN {ov.fixed_code('unitate_siiir')} END AS unitate_siiir, lang AS limba_materna, lr AS lr_final,
   lm_f AS lm_final, dob AS do_final, da AS da_final, CASE WHEN ord % 50 = 7 THEN 5.55 ELSE medie END AS medie, {ov.RESULT_LABEL} AS rezultat
-FROM means JOIN checked USING (ord) LEFT JOIN late USING (ord) WHERE an = 1997 AND len(why) = 0"""))
+FROM means JOIN checked USING (ord) LEFT JOIN late USING (ord) WHERE len(why) = 0"""))
 def bac_year_load(spark: SparkSession, sf: str) -> DataFrame:
-    """A leaving-exam year loaded and read back: bad rows set aside, repeated candidates dropped,
-    then the corrections of the year."""
-    records = ex.bac_records(spark, sf).filter("year = 1997")
+    """All leaving-exam years loaded and read back: bad rows set aside, repeated candidates dropped,
+    then the corrections."""
+    records = ex.bac_records(spark, sf)
     again = records.filter(F.col("ord") % 3 == 0).withColumns({"sex": F.when(F.col("sex") == "x", "x").otherwise("f"), "seq": F.lit(2)})
     raw = records.withColumn("seq", F.lit(1)).unionByName(again)
     listed = views.table(spark, sf, "lineitem").filter("l_quantity = 50").select(F.col("l_orderkey").alias("ord"))
     late = records.join(listed, "ord").select(F.col("year").alias("an"), F.regexp_extract("cod_candidat", "([0-9]+)", 1).alias("cod_candidat"))
-    path = shared_folder(spark, "bac")
+    table = YearTable(spark, shared_folder(spark, "bac"))
     layer = loads.Layer(raw, ex.BAC_MAPPING, keep_first_by=["seq"])
-    loads.load_bac_year(spark, [layer], 1997, path, corrections=late, strict=False)
-    return spark.read.parquet(path).select(
+    years.load_bac_years(table, [layer], "year", corrections=late, strict=False)
+    return table.read().select(
         "an", "cod_candidat", "sex", "promotie_anterioara", "unitate_siiir", "limba_materna",
         *as_double("lr_final", "lm_final", "do_final", "da_final", "medie"), "rezultat",
     )
@@ -645,14 +647,14 @@ def bac_year_load(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("old_en_first_load", ov.sql(ov.RESULTS, ov.MARKS, _OLD_EN, select="""
 , first AS (SELECT id_scoala AS id, arg_min(nume_scoala, ord) AS nume, min((ord, cod_siiir))[2] AS cod_siiir FROM old_en
-  WHERE an = 1997 GROUP BY id_scoala)
+  GROUP BY id_scoala)
 SELECT id, nume, cod_siiir, n FROM first JOIN (SELECT id_scoala AS id, count(*) AS n FROM old_en GROUP BY ALL) USING (id)"""))
 def old_en_first_load(spark: SparkSession, sf: str) -> DataFrame:
-    """The first load of a year: its rows replace those stored, and the dimension grows from
-    nothing by the year's schools. Schools with the number of their rows afterwards."""
+    """The first load of all years: its rows replace those stored (half of them), and the dimension grows from
+    nothing by their schools. Schools with the number of their rows afterwards."""
     rows_of = rows.old_en_rows(old_en_records(spark, sf), F.col("an"), keep=["ord"])
-    base = rows_of.drop("nume_scoala", "cod_siiir", "ord")
-    batch = rows_of.filter("an = 1997")
+    base = rows_of.filter(F.col("ord") % 2 == 0).drop("nume_scoala", "cod_siiir", "ord")
+    batch = rows_of
     nothing = batch.filter(F.lit(False)).select(F.col("id_scoala").alias("id"), F.col("nume_scoala").alias("nume"), "cod_siiir")
     facts, grown = loads.old_en_year(base, batch, nothing, ["ord"], update=False)
     return grown.join(facts.groupBy(F.col("id_scoala").alias("id")).agg(F.count("*").alias("n")), "id").select("id", "nume", "cod_siiir", "n")

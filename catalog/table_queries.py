@@ -15,6 +15,7 @@ from gradeloom.operators import dedupe, pages, ranking, updates
 from gradeloom.plans import loads
 from gradeloom.session import shared_folder
 from gradeloom.sources import readers, tables
+from gradeloom.sources.years import YearTable
 
 # -- duplicates and sets ------------------------------------------------------
 
@@ -212,11 +213,11 @@ def active_columns(spark: SparkSession, sf: str) -> DataFrame:
 SELECT an, cod, CASE WHEN an = 1997 THEN 'new' ELSE status END AS status, price FROM base WHERE NOT (an = 1997 AND status = 'P')"""))
 def replace_year(spark: SparkSession, sf: str) -> DataFrame:
     """All years stored, then one year replaced by changed and fewer rows."""
-    stored, path = stored_rows(spark, sf).drop("note"), shared_folder(spark, "years")
-    stored.write.partitionBy("an").parquet(path)
-    fresh = readers.read_table(spark, path, where=F.col("an") == 1997).filter("status <> 'P'")
-    tables.replace_year(fresh.withColumn("status", F.lit("new")), path, 1997)
-    return spark.read.parquet(path).select("an", "cod", "status", "price")
+    stored, table = stored_rows(spark, sf).drop("note"), YearTable(spark, shared_folder(spark, "years"))
+    table.replace(stored, [r[0] for r in stored.select("an").distinct().collect()])
+    fresh = table.read(years=[1997]).filter("status <> 'P'")
+    table.replace(fresh.withColumn("status", F.lit("new")), [1997])
+    return table.read().select("an", "cod", "status", "price")
 
 
 @query("replaced_table", """

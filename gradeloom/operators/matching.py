@@ -278,13 +278,39 @@ def match_schools(
 
     Names of institutions that have no code themselves get none from a neighbour.
     """
-    keys = cut_lineage(source_keys(schools, name, county))
-    targets = cut_lineage(match_targets(institutions, registry, high_school))
+    return _matched(
+        source_keys(schools, name, county), match_targets(institutions, registry, high_school), codeless_keys(institutions), high_school
+    )
+
+
+def match_schools_by_year(
+    schools: DataFrame, year: str, years: list[int], name: str, county: str, institutions: DataFrame,
+    registry: DataFrame | None = None, high_school: bool = True,
+) -> DataFrame:
+    """The same for the names of several years at once, each year on its own: names of one year compete for
+    the codes. Institutions are copied once for each of ``years``. Adds the column ``year``."""
+    named = schools.dropna(subset=[year, name, county])
+    keys = named.select(F.col(year).alias("_year"), F.col(county).alias("county"), _key(name, county).alias("key")).distinct()
+    each = F.explode(F.array(*[F.lit(y) for y in years])).alias("_year")
+
+    def block(df: DataFrame) -> DataFrame:
+        return df.withColumn("county", F.concat_ws("|", "_year", "county")).drop("_year")
+
+    targets, codeless = match_targets(institutions, registry, high_school), codeless_keys(institutions)
+    found = _matched(block(keys), block(targets.select("*", each)), block(codeless.select("*", each)), high_school)
+    return found.select(
+        F.split_part("county", F.lit("|"), F.lit(1)).cast("int").alias(year), F.expr("substr(county, instr(county, '|') + 1)").alias("county"),
+        "key", "code", "dist", "tier",
+    )
+
+
+def _matched(keys: DataFrame, targets: DataFrame, codeless: DataFrame, high_school: bool) -> DataFrame:
+    keys, targets = cut_lineage(keys), cut_lineage(targets)
     exact = cut_lineage(
         exact_matches(keys, targets).withColumns({"dist": F.lit(0), "tier": F.lit(None).cast("int")})
     )
     tiers = rules.HIGH_SCHOOL_TIERS if high_school else rules.MIDDLE_SCHOOL_TIERS
-    asking = keys.join(exact, KEY, "left_anti").join(codeless_keys(institutions), KEY, "left_anti")
+    asking = keys.join(exact, KEY, "left_anti").join(codeless, KEY, "left_anti")
     fuzzy = fuzzy_matches(asking, targets.filter("is_near").join(exact, CODE, "left_anti"), tiers)
     return exact.unionByName(fuzzy)
 
@@ -294,23 +320,23 @@ def unmatched_schools(schools: DataFrame, name: str, county: str, matches: DataF
 
 
 def attach_codes(
-    facts: DataFrame, matches: DataFrame, name: str, county: str, code: str, only_missing: bool = True
+    facts: DataFrame, matches: DataFrame, name: str, county: str, code: str, only_missing: bool = True, by: list[str] = []
 ) -> DataFrame:
-    """Matched codes on fact rows.
+    """Matched codes on fact rows. Matches with further columns ``by`` (a year) count for rows with the same values.
 
     ``only_missing`` keeps codes already there (origin school); otherwise the column holds the
     matched code or null (placement school). Keys are worked out once per distinct school, and
     that table, not the facts, is joined with the matches.
     """
-    schools = facts.select(name, county).dropna().distinct()
+    schools = facts.select(*by, name, county).dropna().distinct()
     codes = (
-        schools.select(name, county, F.col(county).alias("county"), match_key(name, county).alias("key"))
-        .join(matches.select(*KEY, F.col("code").alias("_code")), KEY)
-        .select(name, county, "_code")
+        schools.select(*by, name, county, F.col(county).alias("county"), match_key(name, county).alias("key"))
+        .join(matches.select(*by, *KEY, F.col("code").alias("_code")), [*by, *KEY])
+        .select(*by, name, county, "_code")
     )
     old = F.col(code) if only_missing and code in facts.columns else F.lit(None).cast("string")
     columns = facts.columns if code in facts.columns else facts.columns + [code]
-    joined = facts.join(codes, [name, county], "left")
+    joined = facts.join(codes, [*by, name, county], "left")
     return joined.withColumn(code, F.coalesce(old, F.col("_code"))).select(*columns)
 
 

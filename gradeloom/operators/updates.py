@@ -53,6 +53,39 @@ def update_by_key(
     return base.join(new, key, "left").select(*[value(c) for c in base.columns])
 
 
+def fold_layers(base: DataFrame, layers: list[DataFrame], key: list[str], scope: str) -> DataFrame:
+    """Stored rows with several update batches applied in turn, in one pass over all of them.
+
+    The rows are those of ``update_by_key`` (``mode="column"``) layer by layer, where a layer fills a column if it
+    has a value of it anywhere in the same ``scope`` (a column of the key, such as the year): for each column
+    the last such layer that has the key counts, also with null. Each layer and the base are shuffled once.
+
+    Adds ``is_known`` (false for rows of keys that only layers have; filter on it) and ``is_updated``. A key that
+    a layer repeats fails the job.
+    """
+    columns = [c for c in base.columns if c not in key]
+    kinds = {c: base.schema[c].dataType for c in columns}
+    stacked = None
+    for number, layer in enumerate(layers):
+        cells = [(F.col(c) if c in layer.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in columns]
+        part = layer.select(*key, *cells, F.lit(number).alias("_layer"))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    # One row for each layer and value of the scope.
+    filled = stacked.groupBy(scope, "_layer").agg(*[F.bool_or(F.col(c).isNotNull()).alias(f"_fills_{c}") for c in columns])
+    last = [F.max_by(F.struct(F.col(c).alias("value")), F.when(F.col(f"_fills_{c}"), F.col("_layer"))).alias(f"_new_{c}") for c in columns]
+    layer = F.expr("shiftleft(1L, _layer)")
+    folded = stacked.join(F.broadcast(filled), [scope, "_layer"]).groupBy(*key).agg(*last, (F.sum(layer) != F.bit_or(layer)).alias("_again"))
+    joined = base.withColumn("_old", F.lit(True)).join(folded, key, "full_outer")
+    repeats = F.raise_error(F.lit("a layer repeats a key; keep its first row")).cast("boolean")
+    value = [
+        F.when(F.col(f"_new_{c}").isNotNull(), F.col(f"_new_{c}.value")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
+        for c in base.columns
+    ]
+    known = F.col("_old").isNotNull()
+    hit = F.when(F.col("_again"), repeats).otherwise(known & F.col("_again").isNotNull())
+    return joined.select(*value, known.alias("is_known"), hit.alias("is_updated"))
+
+
 def upsert_by_key(base: DataFrame, batch: DataFrame, key: list[str], update_columns: list[str]) -> DataFrame:
     """Known keys change in ``update_columns`` only; unknown keys are added whole.
 

@@ -158,10 +158,12 @@ def old_en_year(
     return updates.upsert_by_key(base, facts, ["an", "cod_candidat"], changed), grown
 
 
-def old_admission_update(base: DataFrame, batch: DataFrame, year: int, order: list[str]) -> DataFrame:
-    """Older admission update: four columns of the stored rows of a year, first row per candidate."""
+def old_admission_update(base: DataFrame, batch: DataFrame, year: int | None, order: list[str]) -> DataFrame:
+    """Older admission update: four columns of the stored rows of a year, first row per candidate.
+
+    Without a ``year`` the batch has its own column of years, and all stored rows are given back.
+    """
     columns = ["medie_adm", "medie_abs", "repartizat_id_liceu", "repartizat_specializare"]
-    stored = base.filter(F.col("an") == year)
-    return updates.update_by_key(
-        stored, batch.withColumn("an", F.lit(year)), ["an", "cod_candidat"], mode="row", order=order, columns=columns
-    )
+    if year is not None:
+        base, batch = base.filter(F.col("an") == year), batch.withColumn("an", F.lit(year))
+    return updates.update_by_key(base, batch, ["an", "cod_candidat"], mode="row", order=order, columns=columns)

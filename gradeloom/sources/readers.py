@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,11 @@ from pyspark.sql import types as T
 from gradeloom.functions._columns import strip
 from gradeloom.functions.grades import parse_number
 from gradeloom.sources.contracts import ContractError, parse_layout, quoted
+from gradeloom.sources.pieces import CsvLines, json_lines, split_records
 
 BAD_LINE = "_bad_line"
+#: Bytes that a file is opened for to find its header.
+HEADER_BYTES = 65_536
 
 # Quotes are doubled inside quoted cells, not escaped by a backslash.
 _CSV = {"quote": '"', "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE"}
@@ -42,15 +46,19 @@ def csv_header(spark: SparkSession, path, quoted_newlines: bool = True) -> list[
 
 
 def read_records(
-    spark: SparkSession, path, fmt: str = "csv", quoted_newlines: bool = True, lines: bool = False
+    spark: SparkSession, path, fmt: str = "csv", quoted_newlines: bool = True, lines: bool = False, split: bool = False
 ) -> DataFrame:
     """Records of a headed CSV file or of a JSON array of objects.
 
     Rows with more or fewer cells than the header keep their raw text in ``_bad_line``.
-    A quoted line break makes a CSV file indivisible, and so does a JSON array; pass
-    ``quoted_newlines=False``, or ``lines=True`` for one object per line, to let Spark split
-    large files.
+    A file is read by one task if it has quoted line breaks or is a JSON array. Pass ``split`` to
+    cut such files into pieces for many tasks, at the price of a scan more (and, for JSON, of writing the
+    objects once); ``quoted_newlines=False``, or ``lines=True`` for one object per line, where a file has neither.
     """
+    if split and not lines and (fmt == "json" or fmt == "csv" and quoted_newlines):
+        if fmt == "csv":
+            return split_csv(spark, path)
+        return spark.read.json(json_lines(spark, path), primitivesAsString=True)
     if fmt == "csv":
         names = csv_header(spark, path, quoted_newlines)
         return _csv(spark, path, names, True, quoted_newlines)
@@ -59,27 +67,74 @@ def read_records(
     raise ContractError(f"unsupported format: {fmt}")
 
 
+def _first_lines(spark: SparkSession, paths: list[str], most: int = HEADER_BYTES) -> dict[str, str]:
+    """First line of each file. Opens each, but reads no more of it than its first bytes, however large it is."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def first(path: str) -> str:
+        at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+        stream = at.getFileSystem(conf).open(at)
+        try:
+            found = bytes(stream.readNBytes(most))
+        finally:
+            stream.close()
+        line, end, _ = found.partition(b"\n")
+        if not end and len(found) == most:
+            raise ContractError(f"the header of {path} is longer than {most} bytes")
+        return line.decode("utf-8-sig").rstrip("\r")
+
+    with ThreadPoolExecutor(16) as pool:
+        return dict(zip(paths, pool.map(first, paths), strict=True))
+
+
 def _headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files under the paths by their header, in one job: the first line of the first block of each.
+    """Files under the paths by their header. Empty files have none.
 
-    Headers come to the driver, one for each file; a line break inside a header is an error.
+    Files are listed without their content. Names and headers come to the driver, one for each file; a line break
+    inside a header is an error.
     """
-    lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    first = (
-        lines.filter("file_block_start = 0").withColumn("place", F.monotonically_increasing_id())
-        .groupBy("file_path").agg(F.min_by("value", "place").alias("line"))
-    )
+    listed = spark.read.format("binaryFile").load(paths).filter("length > 0").select("path").collect()
     files: dict[tuple[str, ...], list[str]] = {}
-    for path, line in sorted(tuple(r) for r in first.collect()):
+    for path, line in sorted(_first_lines(spark, [r["path"] for r in listed]).items()):
         if line.count('"') % 2:
             raise ContractError(f"line break in the header of {path}")
-        names = next(csv.reader([line.removeprefix("\ufeff")]), [""])
+        names = next(csv.reader([line]), [""])
         if len(set(names)) != len(names):
             raise ContractError(f"repeated column names in {path}")
         files.setdefault(tuple(names), []).append(path)
     return files
 
 
+def split_csv(spark: SparkSession, path, names: list[str] | None = None) -> DataFrame:
+    """Records of headed CSV files with quoted line breaks, each file read by many tasks.
+
+    The rows are those of ``read_records`` (but that a last line without a line end keeps the breaks in its cells as they
+    are). All files have the header ``names`` (that of the files, if not
+    given); another one is an error.
+    """
+    if names is None:
+        found = list(_headers(spark, [path] if isinstance(path, str) else path))
+        if len(found) != 1:
+            raise ContractError("no header row" if not found else f"{len(found)} different headers")
+        names = list(found[0])
+    records = split_records(spark, path, CsvLines())
+    cells = [f"c{n}" for n in range(len(names))]
+    is_first = (F.col("start") == 0) & (F.col("place") == 0)
+    # Where lines end in two signs, line breaks in cells are read as one, too.
+    two = F.col("value").endswith("\r")
+    text = F.when(two, F.replace(F.regexp_replace("value", "\r$", ""), F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("value"))
+    text = F.when(is_first, F.regexp_replace(text, "^\ufeff", "")).otherwise(text)
+    layout = ", ".join(f"{c} string" for c in [*cells, BAD_LINE])
+    parsed = F.from_csv(text, layout, _CSV | {"columnNameOfCorruptRecord": BAD_LINE, "multiLine": "true"})
+    rows = records.filter(text != "").select(is_first.alias("is_first"), parsed.alias("r"), "value")
+    header = F.col(f"r.{BAD_LINE}").isNull()
+    for cell, name in zip(cells, names, strict=True):
+        header = header & F.col(f"r.{cell}").eqNullSafe(F.lit(name if name != "" else None).cast("string"))
+    other = F.raise_error(F.concat(F.lit("a file has another header: "), "value")).cast("boolean")
+    kept = rows.filter(F.when(~F.col("is_first"), True).when(header, False).otherwise(other))
+    return kept.select(*[F.col(f"r.{c}").alias(n) for c, n in zip([*cells, BAD_LINE], [*names, BAD_LINE], strict=True)])
+
+
 def read_many(spark: SparkSession, paths: list[str], fmt: str = "csv", **options) -> DataFrame:
     """One set from many files or folders, with the file each row came from.
 
@@ -137,6 +192,16 @@ def read_typed_csv(
 
 def registry_from_json(response: DataFrame) -> DataFrame:
     """School rows of a registry response ``{data: {content: [...]}}``."""
+    return registry_from_objects(response.select(F.explode("data.content").alias("r")).select("r.*"))
+
+
+def read_registry(spark: SparkSession, path) -> DataFrame:
+    """School rows of stored registry responses, each of which may be far larger than a task."""
+    return registry_from_objects(spark.read.json(json_lines(spark, path, depth=3), primitivesAsString=True))
+
+
+def registry_from_objects(schools: DataFrame) -> DataFrame:
+    """School rows from the objects of a registry response."""
     # Field of the response, column of the registry.
     names = {
         "CODE": "cod",
@@ -150,13 +215,8 @@ def registry_from_json(response: DataFrame) -> DataFrame:
         "SCHOOL_TYPE": "tip_unitate",
         "PROPERTY_FORM": "forma_proprietate",
     }
-    rows = response.select(F.explode("data.content").alias("r"))
-    present = rows.schema["r"].dataType.names
-    return rows.select(
-        *[
-            (F.col(f"r.{src}") if src in present else F.lit(None)).cast("string").alias(dst)
-            for src, dst in names.items()
-        ]
+    return schools.select(
+        *[(F.col(src) if src in schools.columns else F.lit(None)).cast("string").alias(dst) for src, dst in names.items()]
     )
 
 

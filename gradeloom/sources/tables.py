@@ -1,8 +1,10 @@
 """Writing tables and files.
 
-Fact tables are Parquet partitioned by ``an``. A year is replaced by a dynamic partition
-overwrite: tasks write to a staging folder and the job commit swaps the partition, so a lost
-executor or a failed job leaves the old rows in place.
+Plain fact tables are Parquet partitioned by ``an``. A year is replaced by a dynamic partition
+overwrite: tasks write to a staging folder and the job commit swaps the partition, so lost
+executors and failed tasks leave the old rows in place. The swap itself deletes and renames: a driver
+that is lost in it, a reader at work or a second writer can see a half. Where that matters use
+``years.YearTable``, whose versions are committed as a whole.
 """
 
 from __future__ import annotations
