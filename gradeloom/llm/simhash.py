@@ -32,6 +32,8 @@ BLOCKS = (22, 21, 21)
 CHECK_BITS = 4
 #: Rows of one anchor that share a tile; larger anchors become several tiles. Never drops a row.
 TILE = 2048
+#: Nodes with more neighbours than HUB_ROWS, and than a HUBS-th of all, count as hubs.
+HUB_ROWS, HUBS = 1_000, 10_000
 #: Comparisons that are made in one numpy step.
 STEP = 4_000_000
 
@@ -220,22 +222,30 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating star steps: every node ties its larger neighbours to its smallest one, then its
     smaller ones. The edges are written after each step; the rounds grow as the logarithm of the
-    nodes. Neighbours are never gathered: each step is a minimum per node and a join.
+    nodes. Neighbours are never gathered: each step is a minimum per node and a join. The few nodes with
+    many neighbours (HUBS at most) are joined by a broadcast, so that no task gets all edges of one.
     """
+
+    def attached(rows: DataFrame, low: DataFrame, edges: int) -> DataFrame:
+        most = max(HUB_ROWS, 2 * edges // HUBS)
+        hubs = F.broadcast(low.filter(F.col("n") > most).select("a", "low"))
+        others = rows.join(hubs.select("a"), "a", "left_anti").join(low.filter(F.col("n") <= most).select("a", "low"), "a")
+        return others.union(rows.join(hubs, "a").select(*others.columns))
+
     now = cut_lineage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
-    mark = None
+    mark = (now.count(), None)
     while True:
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
-        large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
+        low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"), F.count("*").alias("n"))
+        large = attached(both, low, mark[0]).filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a <> b").distinct()
+        low = large.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
         # of each node the smaller neighbours and the node itself go to the smallest
-        joined = large.join(low, "a")
+        joined = attached(large, low, mark[0])
         small = joined.select(F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b"))
         keep = small.union(low.select("a", F.col("low").alias("b"))).filter("a <> b").distinct()
         now = cut_lineage(keep)
         seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if mark is not None and tuple(seen) == mark:
+        if tuple(seen) == mark:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         mark = tuple(seen)
 
@@ -255,11 +265,10 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, shingle: int =
         "fp", "low", "n", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("tied")
     )
     member = cut_lineage(member)
-    tied_roots = member.filter("tied").select("root").distinct()
-    group = member.join(tied_roots, "root", "left_semi").groupBy("root").agg(F.min("low").alias("component_id"))
-    tied = member.join(group, "root").select("fp", "component_id")
-    alone = member.join(tied_roots, "root", "left_anti").filter("n > 1").select("fp", F.col("low").alias("component_id"))
-    return salted_left_join(found, tied.union(alone), "fp", "doc_id").select(
+    group = member.groupBy("root").agg(F.min("low").alias("component_id"), F.bool_or("tied").alias("met")).filter("met")
+    own = F.when(F.col("met"), F.col("component_id")).when(F.col("n") > 1, F.col("low"))
+    told = salted_left_join(member, group, "root", "fp").select("fp", own.alias("component_id")).filter("component_id is not null")
+    return salted_left_join(found, told, "fp", "doc_id").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
