@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradeloom.session import cut_lineage
+
 #: Copies of the small side of a salted join: no reducer gets more than this fraction of a hot key.
 SALTS = 16
+#: Numbers that the keys of a small table are hashed to, to find the rows of a large one that may match.
+SLOTS = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +40,31 @@ def salted_left_join(rows: DataFrame, table: DataFrame, key: str | list[str], sp
     return salted.join(spread_out, [*keys, "_salt"], "left").drop("_salt")
 
 
+def may_match(rows: DataFrame, key: str, wanted: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows whose ``key`` may be one of ``wanted``: all that are, and a few more; ``left_anti`` gives the others.
+
+    At most SLOTS numbers are broadcast, however many keys are wanted, and no row is shuffled.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS)).alias("_slot")
+    slots = wanted.select(slot).distinct()
+    return rows.withColumn("_slot", F.pmod(F.xxhash64(key), F.lit(SLOTS))).join(F.broadcast(slots), "_slot", how).drop("_slot")
+
+
+def first_of_groups(docs: DataFrame, digest: Column, groups: DataFrame) -> DataFrame:
+    """Rows of ``docs``, with all their columns, without the copies.
+
+    ``groups`` has ``sha`` (the ``digest`` of a text, once), ``stays`` and ``keep_id`` for texts that have copies: of the rows
+    with such a digest one stays where ``stays`` holds, with doc_id ``keep_id``; of several the smallest. Rows with another
+    digest stay as they are, and are not shuffled; so do rows without a doc_id.
+    """
+    groups = cut_lineage(groups.select("sha", "stays", "keep_id"))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), digest.alias("sha"), "doc_id")
+    met = salted_left_join(may_match(rows, "sha", groups), groups, "sha", "doc_id")
+    first = met.filter("stays and doc_id = keep_id").groupBy("sha").agg(F.min("_row").alias("_row"))
+    rest = may_match(rows, "sha", groups, "left_anti").select("_row").union(met.filter("stays is null or doc_id is null").select("_row"))
+    return rest.union(first.select("_row")).select("_row.*")
+
+
 def one_row_each(docs: DataFrame, listed: DataFrame) -> DataFrame:
     """A row of ``docs`` as ``_row`` for each doc_id of ``listed``, beside the columns of ``listed``.
 

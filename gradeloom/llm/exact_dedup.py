@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.llm.common import ascii_lower, id_and_text, keep_listed, salted_left_join
+from gradeloom.llm.common import ascii_lower, first_of_groups, id_and_text, salted_left_join
 from gradeloom.llm.fuse import FuseFilter
 from gradeloom.session import cut_lineage
 
@@ -143,6 +143,9 @@ def exact_duplicates(docs: DataFrame, incoming) -> DataFrame:
 def drop_exact_duplicates(docs: DataFrame, incoming) -> DataFrame:
     """Rows of ``docs``, with all their columns, that stay: of equal texts the largest doc_id.
 
-    Rows without a doc_id have nothing to be told by and stay.
+    Of repeated rows one stays. Different texts stay, also where they have the same doc_id. Rows without a doc_id have
+    nothing to be told by and stay.
     """
-    return keep_listed(docs, exact_duplicates(docs, incoming).filter("doc_id = keep_id"))
+    copied = exact_duplicates(docs, incoming).filter("group_size > 1")
+    groups = copied.groupBy(F.col("text_sha256").alias("sha")).agg(F.max("keep_id").alias("keep_id")).withColumn("stays", F.lit(True))
+    return first_of_groups(docs, F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256), groups)

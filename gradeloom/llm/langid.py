@@ -151,13 +151,20 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
-    """Rows of ``docs``, with all their columns, whose language could be told."""
+    """Rows of ``docs``, with all their columns, whose language could be told.
+
+    Where no language was learnt, all texts with a letter stay.
+    """
     held = docs.sparkSession.sparkContext.broadcast((model.languages, model.likelihood))  # plain data: executors may lack the package
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, own = letter_table(), Model(*held.value)
         for batch in found:
-            told = [own.predict(t, letters)[0] != UNDETERMINED for t in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
+            if own.languages:
+                told = [own.predict(t, letters)[0] != UNDETERMINED for t in texts]
+            else:
+                told = [bool(t) and trigrams(t, letters) is not None for t in texts]
             yield batch.filter(pa.array(told, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
