@@ -50,18 +50,18 @@ def may_match(rows: DataFrame, key: str, wanted: DataFrame, how: str = "left_sem
     return rows.withColumn("_slot", F.pmod(F.xxhash64(key), F.lit(SLOTS))).join(F.broadcast(slots), "_slot", how).drop("_slot")
 
 
-def first_of_groups(docs: DataFrame, digest: Column, groups: DataFrame) -> DataFrame:
-    """Rows of ``docs``, with all their columns, without the copies.
+def without(docs: DataFrame, digest: Column, judged: DataFrame) -> DataFrame:
+    """Rows of ``docs``, with all their columns, but for copies.
 
-    ``groups`` has ``sha`` (the ``digest`` of a text, once), ``stays`` and ``keep_id`` for texts that have copies: of the rows
-    with such a digest one stays where ``stays`` holds, with doc_id ``keep_id``; of several the smallest. Rows with another
-    digest stay as they are, and are not shuffled; so do rows without a doc_id.
+    ``judged`` has ``doc_id``, ``sha`` (the ``digest`` of a text), ``n`` (rows with both) and ``stays``, for pairs of doc_id and
+    digest of which a row goes: one row stays, the smallest, where ``stays`` holds, else none. Other rows stay as
+    they are, and so do rows without a doc_id. Only rows whose doc_id may be listed are hashed and shuffled.
     """
-    groups = cut_lineage(groups.select("sha", "stays", "keep_id"))
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), digest.alias("sha"), "doc_id")
-    met = salted_left_join(may_match(rows, "sha", groups), groups, "sha", "doc_id")
-    first = met.filter("stays and doc_id = keep_id").groupBy("sha").agg(F.min("_row").alias("_row"))
-    rest = may_match(rows, "sha", groups, "left_anti").select("_row").union(met.filter("stays is null or doc_id is null").select("_row"))
+    judged = cut_lineage(judged.filter("doc_id is not null and (not stays or n > 1)").select("doc_id", "sha", "stays"))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", digest.alias("sha"))
+    met = may_match(rows, "doc_id", judged).join(judged, ["doc_id", "sha"], "left")
+    first = met.filter("stays").groupBy("doc_id", "sha").agg(F.min("_row").alias("_row"))
+    rest = may_match(rows, "doc_id", judged, "left_anti").select("_row").union(met.filter("stays is null").select("_row"))
     return rest.union(first.select("_row")).select("_row.*")
 
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.llm.common import ascii_lower, first_of_groups, id_and_text, salted_left_join
+from gradeloom.llm.common import ascii_lower, id_and_text, salted_left_join, without
 from gradeloom.llm.fuse import FuseFilter
 from gradeloom.session import cut_lineage
 
@@ -146,6 +146,6 @@ def drop_exact_duplicates(docs: DataFrame, incoming) -> DataFrame:
     Of repeated rows one stays. Different texts stay, also where they have the same doc_id. Rows without a doc_id have
     nothing to be told by and stay.
     """
-    copied = exact_duplicates(docs, incoming).filter("group_size > 1")
-    groups = copied.groupBy(F.col("text_sha256").alias("sha")).agg(F.max("keep_id").alias("keep_id")).withColumn("stays", F.lit(True))
-    return first_of_groups(docs, F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256), groups)
+    judged = exact_duplicates(docs, incoming).filter("group_size > 1").groupBy("doc_id", F.col("text_sha256").alias("sha"))
+    pairs = judged.agg(F.bool_or("kept").alias("stays"), F.count("*").alias("n"))
+    return without(docs, F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256), pairs)
