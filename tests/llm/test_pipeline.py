@@ -13,8 +13,10 @@ from gradeloom.llm import queries
 from gradeloom.llm.queries import vocabulary
 from gradeloom.session import cut_lineage
 
-from .test_dedup import brute_components, brute_fingerprint, low
+from .conftest import prose
+from .test_dedup import low
 from .test_mixing import expected_targets, rows_of, words
+from .test_shingles import plain_components
 
 tokenizers = pytest.importorskip("tokenizers")
 
@@ -43,9 +45,8 @@ def test_stages_beside_plain_versions(spark, documents, messy, tmp_path):
     assert sorted((r.doc_id, low(r.text)) for r in named) == sorted((i, t) for t, i in best.items())
 
     near = step("simhash_dedup", exact)
-    before = exact.collect()
-    roots = brute_components([brute_fingerprint(r.text) for r in before], [r.doc_id for r in before])
-    assert sorted(r.doc_id for r in near.collect() if r.doc_id is not None) == sorted({r for r in roots if r is not None})
+    roots = plain_components([(r.doc_id, r.text) for r in exact.collect() if r.doc_id is not None])
+    assert sorted(r.doc_id for r in near.collect() if r.doc_id is not None) == sorted(set(roots.values()))
 
     mix = step("source_mixing", near)
     sizes, taken = defaultdict(int), defaultdict(int)
@@ -79,7 +80,7 @@ def test_run_of_the_tables(spark, tables):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(m[1]) for n in entry.queries() if (m := re.match(r"op(\d+)_", n)))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(queries.ORACLES) <= set(queries.QUERIES) and set(queries.ORACLES) <= set(entry.oracle_sql())
 
 
@@ -90,6 +91,19 @@ def test_query_equals_its_sql(spark, tables, name, monkeypatch):
     assert spark_rows(spark, name, tables) == oracle_rows(name, tables)
 
 
+def test_duplicate_stages_keep_texts_that_are_no_copies(spark, documents, tmp_path):
+    """Two texts of one doc_id, rows without a doc_id, and no language to be learnt lose nothing."""
+    rows = [(1, prose(1, 80)), (1, prose(2, 80)), (2, prose(3, 80)), (2, prose(3, 80)), (3, prose(4, 80)), (None, prose(5, 80)), (4, prose(4, 80))]
+    docs = documents([(i, t, None, "a") for i, t in rows])
+    told = corpus_pipeline.language(spark, docs, str(tmp_path))
+    assert told.count() == len(rows)
+    exact = cut_lineage(corpus_pipeline.exact(spark, told, str(tmp_path)))
+    wanted = [(1, prose(1, 80)), (1, prose(2, 80)), (2, prose(3, 80)), (None, prose(5, 80)), (4, prose(4, 80))]
+    assert sorted(((r.doc_id, r.text) for r in exact.collect()), key=str) == sorted(wanted, key=str)
+    near = corpus_pipeline.near(spark, exact, str(tmp_path))
+    assert sorted(((r.doc_id, r.text) for r in near.collect()), key=str) == sorted(wanted, key=str)
+
+
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES) - {"op5_token_counts"}))
 def test_query_has_a_row_for_each_document(spark, tables, name):
     assert queries.QUERIES[name](spark, tables).count() == spark.read.parquet(f"{tables}/documents.parquet").count()
