@@ -138,6 +138,25 @@ def canonical_id(spark: SparkSession, sf: str) -> DataFrame:
     return ids(schools, "i", "id", "nume", "cod_judet").unionAll(ids(docs, "d", "doc_id", "text", F.upper("lang")))
 
 
+_LATIN, _CYRILLIC, _GREEK = "abegdiklmnoprstuz", "абегдиклмнопрстуз", "αβεγδικλμνοπρστυζ"
+
+
+@query("script_ids", f"""
+SELECT p_partkey AS id, replace(trim(regexp_replace(upper(translate(p_name || ' ' || p_type, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))
+  || ' AB', '[^A-Z0-9]+', ' ', 'g')), ' ', '_') AS cyrillic, replace(replace(trim(regexp_replace(upper(p_name) || ' AB', '[^A-Z0-9]+', ' ', 'g')), ' ', '_'), 'CH', 'CKH') AS greek
+FROM part""")
+def script_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Names written with Cyrillic and Greek letters where there is one for one; their ids are those of the Latin names.
+    In the Greek ones the h stands for itself but after a c, where it is a chi."""
+    part = views.table(spark, sf, "part")
+    name = F.lower(F.concat("p_name", F.lit(" "), "p_type"))
+    greek = F.replace(F.translate("p_name", _LATIN, _GREEK), F.lit("ch"), F.lit("cχ"))
+    return part.select(
+        F.col("p_partkey").alias("id"), names.canonical_id(F.translate(name, _LATIN, _CYRILLIC), F.lit("AB"), place_rules=False).alias("cyrillic"),
+        names.canonical_id(greek, F.lit("AB"), place_rules=False).alias("greek"),
+    )
+
+
 @query("match_key", ov.sql(ov.INSTITUTIONS, select=f"""
 SELECT 'i' AS tbl, id, {ov.match_key('nume', 'cod_judet')} AS match_key FROM institutions
 UNION ALL SELECT 'd', doc_id, {ov.match_key('text', 'upper(lang)')} FROM documents"""))

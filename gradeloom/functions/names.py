@@ -15,9 +15,16 @@ _WORDS_AND_GAPS = r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_]+)"
 _LETTERS_AND_GAPS = r"(\p{L}+|[^\p{L}]+)"
 
 
+_SCRIPTS, _SPELLED_OUT = rules.script_table()
+
+
 def plain_letters(c: ColumnLike) -> Column:
-    """Latin text without accents."""
-    return F.translate(replace_all(col(c), rules.PLAIN_LIGATURES), _ACCENTS_FROM, _ACCENTS_TO)
+    """Latin text without accents; letters of other alphabets are spelled out. Scripts without letters (signs
+    for words or syllables) stay as they are."""
+    c = col(c)
+    spelled = F.translate(replace_all(c, _SPELLED_OUT), *_SCRIPTS)
+    text = F.when(c.rlike(rules.OTHER_SCRIPTS), spelled).otherwise(c)
+    return F.translate(replace_all(text, rules.PLAIN_LIGATURES), _ACCENTS_FROM, _ACCENTS_TO)
 
 
 def _repair_quotes(c: Column) -> Column:

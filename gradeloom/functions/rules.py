@@ -159,8 +159,53 @@ PLAIN_LIGATURES = [
     ("þ", "th"), ("Þ", "Th"), ("№", "No"), ("€", "EUR"), ("°", "deg"),
 ]
 
+# Plain spelling of Greek and Cyrillic letters; capitals follow.
+GREEK_LETTERS = [
+    ("α", "a"), ("β", "b"), ("γ", "g"), ("δ", "d"), ("ε", "e"), ("ζ", "z"), ("η", "e"), ("θ", "th"), ("ι", "i"), ("κ", "k"),
+    ("λ", "l"), ("μ", "m"), ("ν", "n"), ("ξ", "x"), ("ο", "o"), ("π", "p"), ("ρ", "r"), ("σ", "s"), ("ς", "s"), ("τ", "t"),
+    ("υ", "u"), ("φ", "ph"), ("χ", "kh"), ("ψ", "ps"), ("ω", "o"),
+]
+CYRILLIC_LETTERS = [
+    ("а", "a"), ("б", "b"), ("в", "v"), ("г", "g"), ("д", "d"), ("е", "e"), ("ж", "zh"), ("з", "z"), ("и", "i"), ("й", "i"),
+    ("к", "k"), ("л", "l"), ("м", "m"), ("н", "n"), ("о", "o"), ("п", "p"), ("р", "r"), ("с", "s"), ("т", "t"), ("у", "u"),
+    ("ф", "f"), ("х", "kh"), ("ц", "ts"), ("ч", "ch"), ("ш", "sh"), ("щ", "shch"), ("ъ", '"'), ("ы", "y"), ("ь", "'"),
+    ("э", "e"), ("ю", "iu"), ("я", "ia"), ("ё", "io"), ("є", "ie"), ("і", "i"), ("ї", "yi"), ("ј", "j"), ("љ", "lj"), ("њ", "nj"),
+    ("џ", "dzh"), ("ў", "u"), ("ґ", "g"),
+]
+
 # ------------------------------------------------------------- end fixed values
 
+#: Alphabets whose letters are spelled by the first sound of their Unicode names.
+_NAMED_LETTERS = [range(0x0531, 0x0587), range(0x05D0, 0x05EB), range(0x0621, 0x064B), range(0x10A0, 0x1100)]
+_SOUNDS = ("SHCH", "DZH", "SH", "CH", "ZH", "TH", "KH", "GH", "PH", "DZ", "TS")
+#: A letter of any script that has a plain spelling here.
+OTHER_SCRIPTS = "[\u0370-\u03ff\u0400-\u0587\u05d0-\u05ea\u0621-\u064a\u10a0-\u10ff\u1f00-\u1fff]"
+
+
+def script_table() -> tuple[tuple[str, str], list[tuple[str, str]]]:
+    """Plain spelling of letters of other scripts: arguments for ``translate`` where it is one letter, and pairs
+    to be replaced where it is several.
+
+    Accented letters follow their base letter; capitals are spelled with one capital.
+    """
+    spelled = dict(GREEK_LETTERS + CYRILLIC_LETTERS)
+    for block in _NAMED_LETTERS:
+        for point in block:
+            words = unicodedata.name(chr(point), "").split(" WITH ")[0].split()
+            if "LETTER" in words and words[-1].isalpha():
+                sound = next((s for s in _SOUNDS if words[-1].startswith(s)), words[-1][:1]).lower()
+                spelled[chr(point)] = sound.capitalize() if "CAPITAL" in words else sound
+    for letter, plain in GREEK_LETTERS + CYRILLIC_LETTERS:
+        if letter.upper() not in spelled:
+            spelled[letter.upper()] = plain.capitalize()
+    for block in (range(0x0370, 0x0530), range(0x1F00, 0x2000)):
+        for point in block:
+            base = unicodedata.normalize("NFD", chr(point))[0]
+            if base in spelled:
+                spelled.setdefault(chr(point), spelled[base])
+    single = {a: b for a, b in sorted(spelled.items()) if len(b) == 1}
+    return ("".join(single), "".join(single.values())), [(a, b) for a, b in sorted(spelled.items()) if len(b) > 1]
+
 
 def html_entities() -> dict[str, str]:
     """Named character references of HTML and their characters, from the standard table.

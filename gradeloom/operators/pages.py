@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.functions import rules
-from gradeloom.functions._columns import ColumnLike, bind, col, strip
+from gradeloom.functions._columns import ColumnLike, bind, col, replace_all, strip
 
 RESULT_ROW = r"""(?is)<tr\b[^>]*\bclass\s*=\s*["']?(?:[^"'>]*\s)?tr[12](?=[\s"'>])[^>]*>(.*?)</tr>"""
 TABLE_CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
@@ -43,8 +43,20 @@ def _character(number: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(0xFFFD)), 8, "0")), "UTF-32")
 
 
+# The usual references: all but that of the ampersand itself can be replaced one after the other.
+_USUAL = ["lt", "gt", "quot", "apos", "nbsp"]
+_UNUSUAL = "&(?!(?:amp|" + "|".join(_USUAL) + ");)#?[0-9A-Za-z]+;"
+
+
 def decoded(text: Column) -> Column:
     """Text with its character references replaced, each once; unknown ones stay as they are."""
+    entities = rules.html_entities() | {"&apos;": "'"}
+    usual = F.replace(replace_all(text, [(f"&{n};", entities[f"&{n};"]) for n in _USUAL]), F.lit("&amp;"), F.lit("&"))
+    return F.when(~text.contains("&"), text).when(text.rlike(_UNUSUAL), _decoded_pieces(text)).otherwise(usual)
+
+
+def _decoded_pieces(text: Column) -> Column:
+    """The same for any references: the text is cut at each, and each is looked up."""
     named = F.create_map(*[F.lit(x) for pair in rules.html_entities().items() for x in pair])
 
     def reference(piece: Column) -> Column:
@@ -58,7 +70,7 @@ def decoded(text: Column) -> Column:
         )
 
     pieces = F.regexp_extract_all(text, F.lit(r"(&#?[0-9A-Za-z]+;|[^&]+|&)"), F.lit(1))
-    return F.when(text.contains("&"), F.array_join(F.transform(pieces, reference), "")).otherwise(text)
+    return F.array_join(F.transform(pieces, reference), "")
 
 
 def cell_text(inner: ColumnLike, separator: str = "") -> Column:

@@ -34,6 +34,13 @@ class ConflictError(RuntimeError):
     """Another writer has changed the same year since this write began."""
 
 
+def _by_year(files: list[tuple[int, str, int]]) -> dict[int, int]:
+    counts: dict[int, int] = {}
+    for year, _, n in files:
+        counts[year] = counts.get(year, 0) + n
+    return counts
+
+
 class YearTable:
     """A fact table by year. ``version`` counts commits; 0 is the empty table."""
 
@@ -68,11 +75,16 @@ class YearTable:
 
     def notes(self, version: int) -> DataFrame | None:
         """The table that was stored beside a version, if any."""
-        name = self._marker(version)["notes"]
+        name = self._marker(version).get("notes")
         return None if name is None else self.spark.read.parquet(f"{self.path}/notes/{name}")
 
-    def _marker(self, version: int):
-        return self.spark.read.schema(_MARKER).json(f"{self.path}/versions/{version:012d}").first()
+    def _marker(self, version: int) -> dict:
+        at = self._path(f"{self.path}/versions/{version:012d}")
+        stream = self._fs.open(at)
+        try:
+            return json.loads(bytes(stream.readAllBytes()))
+        finally:
+            stream.close()
 
     def files(self, version: int | None = None) -> DataFrame:
         """The live files of a version, with their year and number of rows."""
@@ -81,6 +93,10 @@ class YearTable:
             return self.spark.createDataFrame([], _FILES)
         return self.spark.read.schema(_FILES).parquet(f"{self.path}/manifests/{self._marker(version)['manifest']}")
 
+    def _listed(self, version: int) -> list[tuple[int, str, int]]:
+        """The same on the driver, which needs the names of all files it reads anyway."""
+        return [tuple(r) for r in self.files(version).collect()] if version else []
+
     # -- reading --------------------------------------------------------------------
 
     def _rows(self, files: list[str], columns: str, *more: Column) -> DataFrame:
@@ -96,24 +112,23 @@ class YearTable:
         version = self.version() if version is None else version
         if not version:
             raise EmptyBatchError("the table has no version yet")
-        files = self.files(version)
-        if years is not None:
-            files = files.filter(F.col(YEAR).isin(list(years)))
-        return self._rows([r["file"] for r in files.select("file").collect()], self._marker(version)["columns"])
+        wanted = [file for year, file, _ in self._listed(version) if years is None or year in years]
+        return self._rows(wanted, self._marker(version)["columns"])
 
     def counted(self, version: int) -> dict[int, int]:
         """Rows of each year."""
-        return {r[YEAR]: r["n"] for r in self.files(version).groupBy(YEAR).agg(F.sum("n").alias("n")).collect()}
+        return _by_year(self._listed(version))
 
     # -- writing --------------------------------------------------------------------
 
-    def _write(self, rows: DataFrame) -> DataFrame:
+    def _write(self, rows: DataFrame) -> list[tuple[int, str, int]]:
         """Write data files; returns what a manifest says of them. Nothing names them yet."""
         folder = f"{self.path}/rows/write=w{uuid.uuid4().hex}"
         rows.write.partitionBy(YEAR).parquet(folder)
         name = F.regexp_extract(F.col("_metadata.file_path"), f"(write=[^/]+/{YEAR}=[^/]+/[^/]+)$", 1)
         found = self.spark.read.schema(f"{YEAR} int").option("basePath", f"{self.path}/rows").parquet(folder)
-        return found.groupBy(YEAR, name.alias("file")).agg(F.count("*").alias("n")).select(YEAR, "file", "n")
+        counted = found.groupBy(YEAR, name.alias("file")).agg(F.count("*").alias("n"))
+        return [tuple(r) for r in counted.select(YEAR, "file", "n").collect()]
 
     def _publish(self, version: int, marker: dict) -> bool:
         """Put a version's file in place; false if there is one already."""
@@ -134,13 +149,14 @@ class YearTable:
             return False
         return True
 
-    def _commit(self, start: int, years: list[int], change: Callable[[DataFrame], DataFrame], columns: str, counts: list[dict], notes: DataFrame | None) -> int:
+    def _commit(self, start: int, years: list[int], change: Callable[[list[tuple]], list[tuple]], columns: str, counts: list[dict], notes: DataFrame | None) -> int:
         if notes is not None:
             stored = uuid.uuid4().hex
             notes.write.parquet(f"{self.path}/notes/{stored}")
         while True:
             manifest = uuid.uuid4().hex
-            change(self.files(start)).write.parquet(f"{self.path}/manifests/{manifest}")
+            files = self.spark.createDataFrame(change(self._listed(start)), _FILES)
+            files.coalesce(1).write.parquet(f"{self.path}/manifests/{manifest}")
             at = time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
             marker = {"version": start + 1, "parent": start, "manifest": manifest, "at": at, "years": years, "columns": columns, "counts": counts}
             if self._publish(start + 1, marker | ({} if notes is None else {"notes": stored})):
@@ -166,14 +182,14 @@ class YearTable:
         known = F.coalesce(F.col(YEAR).isin(listed), F.lit(False))
         rows = rows.withColumn(YEAR, F.col(YEAR).cast("int"))
         written = self._write(rows.filter(F.when(known, True).otherwise(other.cast("boolean"))))
-        new = {r[YEAR]: r["n"] for r in written.groupBy(YEAR).agg(F.sum("n").alias("n")).collect()}
+        new = _by_year(written)
         if missing := [y for y in listed if not new.get(y)]:
             raise EmptyBatchError(f"no rows for {', '.join(map(str, missing))}")
         old = self.counted(start)
         counts = [{YEAR: y, "measure": m, "n": n} for y in listed for m, n in (("replaced", old.get(y, 0)), ("inserted", new[y]))]
         columns = rows.schema.json()
         return self._commit(
-            start, listed, lambda files: files.filter(~F.col(YEAR).isin(listed)).unionByName(written), columns, counts + (measures() if measures else []), notes
+            start, listed, lambda files: [f for f in files if f[0] not in listed] + written, columns, counts + (measures() if measures else []), notes
         )
 
     def rewrite(
@@ -191,22 +207,14 @@ class YearTable:
             raise EmptyBatchError("the table has no version yet")
         years = sorted(r[0] for r in keys.select(YEAR).distinct().collect() if r[0] is not None)
         marker = self._marker(start)
-        live = [r["file"] for r in self.files(start).filter(F.col(YEAR).isin(years)).select("file").collect()]
+        live = [file for year, file, _ in self._listed(start) if year in years]
         name = F.regexp_extract(F.col("_metadata.file_path"), f"(write=[^/]+/{YEAR}=[^/]+/[^/]+)$", 1).alias("_file")
         held = self._rows(live, marker["columns"], name) if live else self._rows([], marker["columns"]).withColumn("_file", F.lit(""))
         hit = held.select(*keys.columns, "_file").join(keys.distinct(), keys.columns, "left_semi")
         touched = [r[0] for r in hit.select("_file").distinct().collect()]
-        parts = []
-        if touched:
-            parts.append(self._write(change(self._rows(touched, marker["columns"]))))
+        written = self._write(change(self._rows(touched, marker["columns"]))) if touched else []
         if added is not None:
-            parts.append(self._write(added.select(*T.StructType.fromJson(json.loads(marker["columns"])).names)))
-        gone = self.spark.createDataFrame([(f,) for f in touched], "file string")
-
-        def new(files: DataFrame) -> DataFrame:
-            files = files.join(gone, "file", "left_anti").select(YEAR, "file", "n")
-            for part in parts:
-                files = files.unionByName(part)
-            return files
-
-        return self._commit(start, years, new, marker["columns"], measures() if measures else [], None), len(touched)
+            written += self._write(added.select(*T.StructType.fromJson(json.loads(marker["columns"])).names))
+        gone = set(touched)
+        counts = measures() if measures else []
+        return self._commit(start, years, lambda files: [f for f in files if f[1] not in gone] + written, marker["columns"], counts, None), len(touched)

@@ -159,3 +159,14 @@ def _distance(a, b):
 def test_edit_distances(keys, texts):
     found = edit_distances(keys, texts)
     assert found.tolist() == [[_distance(k, t) for t in texts] for k in keys]
+
+
+def test_letters_of_other_scripts(values):
+    cases = {
+        "Школа № 5 Щукин": "SHKOLA_NO_5_SHCHUKIN_AB", "Лицей имени Ёлкина": "LITSEI_IMENI_IOLKINA_AB", "Гимназия": "GIMNAZIIA_AB",
+        "Θεσσαλονίκη Άγιος Ψ": "THESSALONIKE_AGIOS_PS_AB", "ΧΙΟΣ": "KHIOS_AB", "თბილისი": "TBILISI_AB", "שלום": "SHLVM_AB",
+        "Școala Élève": "SCOALA_ELEVE_AB", "学校 7": "7_AB",
+    }
+    found = values(lambda c: names.canonical_id(c, F.lit("AB")), list(cases))
+    for (text, wanted), got in zip(cases.items(), found, strict=True):
+        assert got == wanted, (text, got)
