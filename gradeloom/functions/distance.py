@@ -12,6 +12,9 @@ import numpy as np
 WORD = 64
 # Bounds the memory of one step, whatever the size of the tile.
 KEYS_AT_ONCE = 32
+PAIRS_AT_ONCE = 8_192
+#: Letters are counted in so many groups for the lower bound.
+GROUPS = 40
 
 
 def _letters(texts: list[str]) -> list[np.ndarray]:
@@ -72,3 +75,83 @@ def edit_distances(keys: list[str], texts: list[str]) -> np.ndarray:
             same_width = [np.searchsorted(signs, coded_keys[r]) for r in some]
             result[some] = _one_width(same_width, int(words), padded, lengths, len(signs))
     return result
+
+
+def _pair_step(places: list[np.ndarray], last: np.ndarray, signs: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Distances of single pairs: ``at`` is where each pair's key begins in ``places``, ``signs`` has one row per step."""
+    words, one, full = len(places), np.uint64(1), np.uint64(0xFFFFFFFFFFFFFFFF)
+    top = [np.full(len(at), one << np.uint64(WORD - 1)) for _ in range(words - 1)]
+    top.append(one << ((last - 1) % WORD).astype(np.uint64))
+    plus, minus = [np.full(len(at), full) for _ in range(words)], [np.zeros(len(at), dtype=np.uint64) for _ in range(words)]
+    score = last.copy()
+    for step in range(int(lengths.max())):
+        up, down = np.ones(len(at), dtype=np.uint64), np.zeros(len(at), dtype=np.uint64)
+        where = at + signs[step]
+        for w in range(words):
+            vp, vn = plus[w], minus[w]
+            same = places[w].take(where)
+            xv = same | vn
+            same |= down
+            xh = (((same & vp) + vp) ^ vp) | same
+            hp, hn = vn | ~(xh | vp), vp & xh
+            next_up, next_down = ((hp & top[w]) != 0).astype(np.uint64), ((hn & top[w]) != 0).astype(np.uint64)
+            hp, hn = (hp << one) | up, (hn << one) | down
+            plus[w], minus[w] = hn | ~(xv | hp), hp & xv
+            up, down = next_up, next_down
+        score += np.where(step < lengths, up.astype(np.int64) - down.astype(np.int64), 0)
+    return score
+
+
+def near_pairs(keys: list[str], texts: list[str], most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Key, text and distance of all pairs whose distance is at most ``most`` of the key, in this order.
+
+    Letters that one side has more of must be taken out or changed, so their number, of the side with more
+    of them, is a lower bound. Only pairs within it are compared: a quarter of those of school names at
+    four tenths of the length, a hundredth at one tenth.
+    """
+    nothing = np.zeros(0, dtype=np.int64)
+    if not keys or not texts:
+        return nothing, nothing, nothing
+    coded_keys, coded_texts = _letters(keys), _letters(texts)
+    signs = np.unique(np.concatenate(coded_keys + coded_texts + [np.zeros(1, dtype=np.uint32)]))
+    coded_keys, coded_texts = [np.searchsorted(signs, k) for k in coded_keys], [np.searchsorted(signs, t) for t in coded_texts]
+    of_keys, of_texts = (np.stack([np.bincount(x % GROUPS, minlength=GROUPS) for x in coded]).astype(np.int32) for coded in (coded_keys, coded_texts))
+    rows, columns = [], []
+    for start in range(0, len(keys), 256):
+        part = of_keys[start:start + 256]
+        more, fewer = (np.zeros((len(part), len(texts)), dtype=np.int32) for _ in range(2))
+        for g in np.flatnonzero(of_keys.any(axis=0) | of_texts.any(axis=0)):
+            change = part[:, g, None] - of_texts[None, :, g]
+            more += np.maximum(change, 0)
+            fewer -= np.minimum(change, 0)
+        row, column = np.nonzero(np.maximum(more, fewer) <= most[start:start + 256, None])
+        rows.append(row + start)
+        columns.append(column)
+    row, column = np.concatenate(rows), np.concatenate(columns)
+
+    lengths, own = np.array([len(t) for t in coded_texts]), np.array([len(k) for k in coded_keys])
+    padded = np.zeros((int(lengths.max()) + 1, len(texts)), dtype=np.int64)
+    for n, text in enumerate(coded_texts):
+        padded[: len(text), n] = text
+    dist, widths = np.zeros(len(row), dtype=np.int64), -(-own // WORD)
+    for words in np.unique(widths[row]):
+        pairs = np.flatnonzero(widths[row] == words)
+        if words == 0:
+            dist[pairs] = lengths[column[pairs]]
+            continue
+        members = np.flatnonzero(widths == words)
+        number = np.zeros(len(keys), dtype=np.int64)
+        number[members] = np.arange(len(members)) * len(signs)
+        places = [np.zeros(len(members) * len(signs), dtype=np.uint64) for _ in range(words)]
+        for k in members:
+            for w in range(words):
+                part = coded_keys[k][w * WORD:(w + 1) * WORD]
+                np.bitwise_or.at(places[w], number[k] + part, np.uint64(1) << np.arange(len(part), dtype=np.uint64))
+        pairs = pairs[np.argsort(lengths[column[pairs]], kind="stable")]
+        for start in range(0, len(pairs), PAIRS_AT_ONCE):
+            some = pairs[start:start + PAIRS_AT_ONCE]
+            size = lengths[column[some]]
+            longest = int(size.max())
+            dist[some] = _pair_step(places, own[row[some]], padded[:longest].take(column[some], axis=1), size, number[row[some]]) if longest else own[row[some]]
+    near = dist <= most[row]
+    return row[near], column[near], dist[near]

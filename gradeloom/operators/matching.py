@@ -13,7 +13,8 @@ the order in which our rounds settle them, but it does not depend on how rows ar
 
 At four tenths of the length no piece of a key need be left whole, so there is nothing to join
 near names on but the county. Distinct keys are therefore compared with distinct aliases in
-tiles: a bounded number of keys against a bounded block of aliases. A county of any size
+tiles: a bounded number of keys against a bounded block of aliases, and inside a tile only pairs whose
+letters allow it. A county of any size
 spreads over many tasks, no task holds a county, and no pair leaves its tile unless it is near:
 a tile passes on the nearest few codes per key. Keys whose listed codes are all taken by others
 are looked up again among the free ones, so the length of the lists never changes the result.
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.functions import distance, rules
-from gradeloom.functions.distance import edit_distances
+from gradeloom.functions.distance import near_pairs
 from gradeloom.functions.names import county_of_id, match_key
 from gradeloom.session import cut_lineage
 
@@ -128,13 +129,17 @@ def _compare_tile(limit: int):
     def compare(keys: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
         if keys.empty or names.empty:
             return pd.DataFrame({"county": [], "key": [], "dist": [], "codes": []})
-        dist = edit_distances(keys["key"].tolist(), names["alias"].tolist())
-        place = min(limit, dist.shape[1] - 1)
-        reach = np.minimum(keys["k"].to_numpy(), np.partition(dist, place, axis=1)[:, place])
-        row, column = np.nonzero(dist <= reach[:, None])
+        row, column, dist = near_pairs(keys["key"].tolist(), names["alias"].tolist(), keys["k"].to_numpy())
+        # Of each key the nearest limit + 1 names, and all as near as the last of them.
+        order = np.lexsort((dist, row))
+        sorted_row, sorted_dist = row[order], dist[order]
+        first = np.searchsorted(sorted_row, sorted_row)
+        last = np.minimum(first + limit, np.searchsorted(sorted_row, sorted_row, "right") - 1)
+        kept = order[sorted_dist <= sorted_dist[last]]
+        row, column, dist = row[kept], column[kept], dist[kept]
         return pd.DataFrame({
             "county": keys["county"].to_numpy()[row], "key": keys["key"].to_numpy()[row],
-            "dist": dist[row, column].astype("int32"), "codes": names["codes"].to_numpy()[column],
+            "dist": dist.astype("int32"), "codes": names["codes"].to_numpy()[column],
         })
 
     return compare

@@ -1,11 +1,12 @@
 from decimal import Decimal as D
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from gradeloom.functions import codes, grades, labels, names, placement, registry, rules
-from gradeloom.functions.distance import edit_distances
+from gradeloom.functions import codes, distance, grades, labels, names, placement, registry, rules
+from gradeloom.functions.distance import edit_distances, near_pairs
 
 
 def test_grades(values):
@@ -161,6 +162,30 @@ def test_edit_distances(keys, texts):
     assert found.tolist() == [[_distance(k, t) for t in texts] for k in keys]
 
 
+@settings(max_examples=80, deadline=None)
+@given(
+    st.lists(st.text("abcș", max_size=140), min_size=1, max_size=5), st.lists(st.text("abdș", max_size=140), min_size=1, max_size=5),
+    st.integers(0, 10),
+)
+def test_near_pairs(keys, texts, tenths):
+    most = np.array([len(k) * tenths // 10 for k in keys])
+    whole = edit_distances(keys, texts)
+    row, column = np.nonzero(whole <= most[:, None])
+    found = near_pairs(keys, texts, most)
+    assert [x.tolist() for x in found] == [row.tolist(), column.tolist(), whole[row, column].tolist()]
+
+
+def test_few_pairs_are_compared(monkeypatch):
+    """Names of different letters are told apart before any distance is worked out."""
+    words = ["GEAR", "BOLT", "WIRE", "LAMP", "DOOR", "RUST", "MILK", "SAND"]
+    names = [f"SCOALA_{a}_{b}_NR_{str(n) * 10}" for n in range(6) for a in words for b in words]
+    compared = []
+    step = distance._pair_step
+    monkeypatch.setattr(distance, "_pair_step", lambda places, last, *more: compared.append(len(last)) or step(places, last, *more))
+    near_pairs(names, names, np.array([len(k) * 4 // 10 for k in names]))
+    assert sum(compared) < len(names) ** 2 / 2
+
+
 def test_letters_of_other_scripts(values):
     cases = {
         "Школа № 5 Щукин": "SHKOLA_NO_5_SHCHUKIN_AB", "Лицей имени Ёлкина": "LITSEI_IMENI_IOLKINA_AB", "Гимназия": "GIMNAZIIA_AB",
