@@ -228,6 +228,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     def attached(rows: DataFrame, low: DataFrame, edges: int) -> DataFrame:
         most = max(HUB_ROWS, 2 * edges // HUBS)
+        low = cut_lineage(low)
+        if low.filter(F.col("n") > most).isEmpty():
+            return rows.join(low.select("a", "low"), "a")
         hubs = F.broadcast(low.filter(F.col("n") > most).select("a", "low"))
         others = rows.join(hubs.select("a"), "a", "left_anti").join(low.filter(F.col("n") <= most).select("a", "low"), "a")
         return others.union(rows.join(hubs, "a").select(*others.columns))
@@ -238,8 +241,9 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"), F.count("*").alias("n"))
         large = attached(both, low, mark[0]).filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
+        large = cut_lineage(large)
         # of each node the smaller neighbours and the node itself go to the smallest
+        low = large.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
         joined = attached(large, low, mark[0])
         small = joined.select(F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b"))
         keep = small.union(low.select("a", F.col("low").alias("b"))).filter("a <> b").distinct()
