@@ -160,11 +160,13 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, own = letter_table(), Model(*held.value)
         for batch in found:
-            texts = batch.column("text").to_pylist()
-            if own.languages:
-                told = [own.predict(t, letters)[0] != UNDETERMINED for t in texts]
-            else:
-                told = [bool(t) and trigrams(t, letters) is not None for t in texts]
-            yield batch.filter(pa.array(told, pa.bool_()))
+            for at in range(0, batch.num_rows, 1_000):
+                part = batch.slice(at, 1_000)
+                texts = part.column("text").to_pylist()
+                if own.languages:
+                    told = [own.predict(t, letters)[0] != UNDETERMINED for t in texts]
+                else:
+                    told = [bool(t) and trigrams(t, letters) is not None for t in texts]
+                yield part.filter(pa.array(told, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
