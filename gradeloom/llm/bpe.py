@@ -21,7 +21,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from gradeloom.llm.common import id_and_text
+from gradeloom.llm.common import give_back, id_and_text, tidied
 
 #: White space by the Unicode property, as the words of a vocabulary are split; Python's own \s has four more.
 BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -248,10 +248,12 @@ def encoded(docs: DataFrame, vocabulary: str) -> DataFrame:
                     [*(batch.column(c).slice(a, b - a) for c in ("doc_id", "source", "lang")), pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat)), pa.array(exact, pa.bool_())],
                     names=["doc_id", "source", "lang", "ids", "exact"],
                 )
+                del both, flat
+                give_back()
 
     rows = id_and_text(docs, "source", "lang")
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("doc_id", "source", "lang"))
-    return rows.mapInArrow(run, f"{kinds}, ids array<int>, exact boolean")
+    return rows.mapInArrow(tidied(run), f"{kinds}, ids array<int>, exact boolean")
 
 
 def _content(docs: DataFrame, vocabulary: str) -> Broadcast:

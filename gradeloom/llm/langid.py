@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.llm.common import id_and_text
+from gradeloom.llm.common import id_and_text, tidied
 
 #: Bins of hashed trigrams. The model holds one float32 for each bin and language.
 BINS = 1 << 16
@@ -119,7 +119,7 @@ def learn(docs: DataFrame, learnt: Column) -> Model:
         return pd.DataFrame({"lang": rows["lang"].iloc[:1], "counts": [dense.tobytes()]})
 
     known = docs.filter(learnt & F.col("lang").isNotNull())
-    sums = id_and_text(known, "lang").select("text", "lang").mapInArrow(count, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    sums = id_and_text(known, "lang").select("text", "lang").mapInArrow(tidied(count), "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     packed = sorted(sums.groupBy("lang").applyInPandas(pack, "lang string, counts binary").collect())
     table = np.array([np.frombuffer(r["counts"]) for r in packed]).reshape(-1, BINS) + SMOOTHING
     return Model([r["lang"] for r in packed], (table / table.sum(axis=1, keepdims=True)).astype(np.float32))
@@ -169,4 +169,4 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
                     told = [bool(t) and trigrams(t, letters) is not None for t in texts]
                 yield part.filter(pa.array(told, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
