@@ -157,7 +157,9 @@ class Shard:
 
     @classmethod
     def of(cls, doc_ids: list[int], documents: list[np.ndarray], first: int) -> Shard:
-        """Shard of documents' ids, all below ``first``."""
+        """Shard of documents' ids, all below ``first``, of which two bytes must hold each."""
+        if first > SYMBOLS:
+            raise ValueError(f"a vocabulary of {first} ids does not fit {SYMBOLS} symbols")
         ids = np.concatenate(documents)
         left, right, rest = compressed(ids, first)
         sizes = [1] * first
