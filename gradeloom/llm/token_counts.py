@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradeloom.llm.bpe import Encoder, Vocabulary, in_goes
-from gradeloom.llm.common import id_and_text
+from gradeloom.llm.common import id_and_text, may_match
 from gradeloom.session import cut_lineage, shared_folder
 
 KEYS = ["source", "lang", "version"]
@@ -48,11 +48,14 @@ class Ledger:
         paths = [f"{self.folder}/{kind}/{batch}" for batch in self.batches()]
         return self.spark.read.schema(schema).parquet(*paths) if paths else None
 
-    def current(self) -> DataFrame | None:
-        """Count of each document and version as of the committed batches."""
+    def current(self, touched: DataFrame | None = None) -> DataFrame | None:
+        """Count of each document and version as of the committed batches; given ``touched``, with the ``doc_id`` of
+        documents, only of these and a few more, and only their entries are shuffled."""
         entries = self._stored("entries", f"doc_id {self.id_type}, {_TOTALS}")
         if entries is None:
             return None
+        if touched is not None:
+            entries = may_match(entries, "doc_id", touched)
         sums = entries.groupBy("doc_id", *KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         return sums.filter("n_docs <> 0 OR n_tokens <> 0")
 
@@ -70,9 +73,9 @@ class Ledger:
         added = changes.filter("NOT coalesce(deleted, false)").select(
             "doc_id", *KEYS, F.lit(1).cast("long").alias("n_docs"), F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)).alias("n_tokens")
         )
-        held = self.current()
+        touched = changes.select("doc_id", "version").filter("doc_id IS NOT NULL").distinct()
+        held = self.current(touched)
         if held is not None:
-            touched = changes.select("doc_id", "version").filter("doc_id IS NOT NULL").distinct()
             old = held.join(touched, ["doc_id", "version"], "left_semi")
             added = added.union(old.select("doc_id", *KEYS, (-F.col("n_docs")).alias("n_docs"), (-F.col("n_tokens")).alias("n_tokens")))
         added.write.mode("overwrite").parquet(f"{self.folder}/entries/{batch}")
