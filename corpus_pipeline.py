@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeloom.llm import bpe, exact_dedup, langid, mixing, shingles
+from gradeloom.llm import bpe, exact_dedup, langid, mixing, shingles, simhash
 from gradeloom.llm.queries import new_batch, vocabulary
 from gradeloom.session import shared_folder
 
@@ -24,9 +24,10 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id. Near are
-    texts that share eight tenths of their five-word shingles; op9's query has its own contract."""
-    return shingles.drop_near_copies(docs)
+    """One document of each group of near copies stays: the one with the smallest doc_id. Candidates are the texts
+    of a SimHash component (fingerprints linked at four bits, found at anchors as op9 finds them) and those of a bucket
+    of shingles, as four bits are too few for the texts at the limit. All shingles decide: eight tenths must be common."""
+    return shingles.drop_near_copies(docs, also=simhash.text_groups)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,12 +6,13 @@ bucket the similarity is worked out from all shingles of both texts, so no link
 
 A first pass links most of what is alike, each text in one cell of a bucket. The second meets all pairs of a
 bucket but those inside its largest tree; buckets that hold one tree only are passed over. Every cell passes on a
-spanning forest of its links. Shingles are worked out where the texts lie, and only those of texts in a cell move.
+spanning forest of its links. Further buckets may come from elsewhere: the pipeline gives the components of
+SimHash fingerprints, met in both passes. Shingles are worked out where the texts lie, and only those of texts in a cell move.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -90,9 +91,10 @@ def links_of(sets: list[np.ndarray], similarity: float = SIMILARITY) -> tuple[li
     return a, b
 
 
-def links(texts: DataFrame, tile: int = TILE, similarity: float = SIMILARITY, width: int = SHINGLE) -> DataFrame:
+def links(texts: DataFrame, tile: int = TILE, similarity: float = SIMILARITY, width: int = SHINGLE, groups: DataFrame | None = None) -> DataFrame:
     """Edges ``a``, ``b`` between the ``key`` of texts whose components are those of all candidates with at
     least that similarity. ``texts`` has ``key`` (long) and ``text``; rows of one key have one text.
+    ``groups`` has further buckets of them, as ``key`` and ``bucket``.
 
     Copies grow with the texts: in a bucket of n near copies each text is in one cell. Where m texts of a
     bucket of n belong to other trees, each of the n is copied m / ``tile`` times.
@@ -138,6 +140,8 @@ def links(texts: DataFrame, tile: int = TILE, similarity: float = SIMILARITY, wi
     edges = None
     for first, last in PASSES:
         own = marks.select("key", F.slice("buckets", first + 1, last - first).alias("buckets"))
+        if groups is not None:
+            own = own.union(groups.select("key", F.array("bucket")))
         if edges is None:
             own = own.withColumn("tree", F.col("key"))
         else:
@@ -200,11 +204,12 @@ def all_cells(own: DataFrame, tile: int) -> DataFrame:
     return small.union(hosts.union(guests).select(F.xxhash64("bucket", "host", "guest").alias("cell"), "key")).distinct()
 
 
-def near_groups(docs: DataFrame, tile: int = TILE) -> DataFrame:
+def near_groups(docs: DataFrame, tile: int = TILE, also: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """One row for each ``doc_id`` and text: ``sha`` (SHA-256 of the text), ``n`` rows, ``component_id``, the smallest doc_id
     of all texts it is linked to, and ``stays``: it is the first text with that doc_id (by SHA-256).
 
-    Texts are told by their SHA-256; the 64-bit numbers they have in the search differ, too.
+    Texts are told by their SHA-256; the 64-bit numbers they have in the search differ, too. ``also`` gives
+    further buckets (``key``, ``bucket``) of texts (``key``, ``text``), whose texts are candidates, too.
     """
     texts = id_and_text(docs).select("doc_id", F.xxhash64("text").alias("key"), "text")
     rows = texts.groupBy("doc_id", "key", F.sha2("text", 256).alias("sha")).agg(F.count("*").alias("n"))
@@ -217,7 +222,8 @@ def near_groups(docs: DataFrame, tile: int = TILE) -> DataFrame:
             return df.join(F.broadcast(clashes), "key", "left").withColumn("key", key).drop("clash")
 
         texts, known = told_apart(texts, F.sha2("text", 256)), told_apart(known, F.col("sha"))
-    joined = components(links(texts.select("key", "text"), tile)).withColumnRenamed("node", "key")
+    texts = texts.select("key", "text")
+    joined = components(links(texts, tile, groups=also(texts) if also else None)).withColumnRenamed("node", "key")
     named = salted_left_join(known, joined, "key", "doc_id").select("doc_id", "sha", "n", F.coalesce("root", "key").alias("root"))
     member = cut_lineage(named)
     first = member.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha")).alias("first"), F.count("*").alias("texts"))
@@ -239,11 +245,12 @@ def near_copies(docs: DataFrame, tile: int = TILE) -> DataFrame:
     return near_groups(docs, tile).select("doc_id", "component_id", each.alias("number")).drop("number")
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs``, with all their columns, one of each group of near copies.
+def drop_near_copies(docs: DataFrame, also: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Rows of ``docs``, with all their columns, one of each group of near copies; ``also`` gives further
+    candidates, as in ``near_groups``.
 
     The one with the smallest doc_id stays. Of repeated rows (same doc_id, same text) one stays, and of different
     texts with that doc_id the one whose SHA-256 comes first. Rows that have no near copy stay, whatever
     their doc_id; rows without a doc_id have nothing to be told by and stay.
     """
-    return without(docs, F.sha2(F.coalesce("text", F.lit("")), 256), near_groups(docs))
+    return without(docs, F.sha2(F.coalesce("text", F.lit("")), 256), near_groups(docs, also=also))

@@ -254,6 +254,17 @@ def components(edges: DataFrame) -> DataFrame:
         mark = tuple(seen)
 
 
+def text_groups(texts: DataFrame, threshold: int = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
+    """``key`` (long) of each text and ``bucket``, one number for all texts that ``near_duplicates`` puts in one component.
+
+    ``texts`` has ``key`` and ``text``; rows of one key have one text and give one row.
+    """
+    found = cut_lineage(fingerprints(texts.select(F.col("key").alias("doc_id"), "text"), shingle).distinct())
+    joined = components(links(cut_lineage(found.select("fp").distinct()), threshold)).withColumnRenamed("node", "fp")
+    group = F.xxhash64(F.coalesce("root", "fp"), F.lit("simhash"))
+    return cut_lineage(salted_left_join(found, joined, "fp", "doc_id").select(F.col("doc_id").alias("key"), group.alias("bucket")))
+
+
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
     """One row per document: ``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``, the
     smallest doc_id among all documents it is linked to, directly or over others.

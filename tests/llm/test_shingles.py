@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from gradeloom.llm import shingles
+from gradeloom.llm import shingles, simhash
 
 from .conftest import prose
 
@@ -57,6 +57,27 @@ def test_stage_drops_copies_with_changed_words(spark, documents):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(plain_components(rows).values()))
 
 
+def test_stage_meets_the_texts_of_a_fingerprint_component(documents, monkeypatch):
+    """With no other buckets, texts that fingerprints link are compared, and all shingles decide: one passage repeated
+    with other words at its end is alike to SimHash, which counts repeats, but not as sets of shingles."""
+    monkeypatch.setattr(shingles, "PASSES", ((0, 0), (0, 0)))
+    base, passage = prose(70, 900), "heron lamp stone river copper " * 60
+    texts = [base, changed(base, 1, 1), base.replace(" ", "\n"), prose(71, 90)] + [passage + f"end {n} is other" for n in range(3)]
+    docs = documents(list(enumerate(texts)))
+    groups = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert groups == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 4, 6: 4}
+    assert jaccard(plain_set(texts[4]), plain_set(texts[5])) < 0.8 <= jaccard(plain_set(texts[0]), plain_set(texts[1]))
+    assert sorted(r.doc_id for r in corpus_pipeline.near(docs.sparkSession, docs, "").collect()) == [0, 3, 4, 5, 6]
+
+
+def test_fingerprint_buckets_are_the_components_of_near_duplicates(documents):
+    rows = near_rows() + [(1000 + n, t.upper()) for n, t in near_rows()[:50]]
+    docs, groups = documents(rows), {}
+    for r in simhash.text_groups(docs.select(docs.doc_id.alias("key"), "text")).collect():
+        groups.setdefault(r.bucket, []).append(r.key)
+    assert {i: min(g) for g in groups.values() for i in g} == {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+
+
 def test_links_are_exact():
     texts = [t for _, t in near_rows()]
     a, b = shingles.links_of([shingles.shingles(t) for t in texts])
