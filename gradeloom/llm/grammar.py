@@ -13,6 +13,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -93,6 +94,12 @@ class WordEncoder(Encoder):
         return np.fromiter(chain.from_iterable(found), dtype=np.int64, count=int(lengths.sum())), lengths
 
 
+@lru_cache(maxsize=1)
+def encoder_of(content: bytes) -> WordEncoder:
+    """The encoder of a vocabulary, kept with the chunks it knows for the further tasks of a Python worker."""
+    return WordEncoder(content)
+
+
 def compressed(ids: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules (left and right symbol of each, numbered from ``first``) and the sequence left of ids below ``first``."""
     left, right, rest = [], [], ids.astype(np.uint32)
@@ -232,7 +239,7 @@ def written(docs: DataFrame, vocabulary: str, shard_ids: int = SHARD_IDS) -> Dat
             seq, doc_ids, documents, held_ids = seq + 1, [], [], 0
 
         for batch in found:
-            encoder = encoder or WordEncoder(held.value)
+            encoder = encoder or encoder_of(held.value)
             names, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             for a, b in in_goes(texts):
                 ids, lengths = encoder.encode(texts[a:b])

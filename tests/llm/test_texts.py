@@ -329,3 +329,14 @@ def test_negative_labels_are_never_learnt_from(spark, documents):
     assert quality.learn(documents([]), all_labels, ~langid.held_out()) is None
     assert [r.score for r in quality.scored(asked, None).collect()] == [0.5] * 6
     assert quality.scored(documents([]), model).collect() == []
+
+
+def test_token_file_tasks_share_an_encoder():
+    """A Python worker keeps the encoder, with the chunks it knows, for its next task."""
+    with open(vocabulary("word_bpe_49k.json"), "rb") as file:
+        content = file.read()
+    first = grammar.encoder_of(content)
+    before = [ids.tolist() for ids in first.encode(["heron lamp", "Straße heron"])]
+    again = grammar.encoder_of(bytes(bytearray(content)))
+    assert again is first and len(again.known) > 0
+    assert [ids.tolist() for ids in grammar.WordEncoder(content).encode(["heron lamp", "Straße heron"])] == before
