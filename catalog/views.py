@@ -15,7 +15,10 @@ LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXY"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. A file of few row groups is read by few tasks, so its rows are dealt out to all cores
+    before any expression is worked out on them."""
+    rows, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
 def _county(number: Column) -> Column:

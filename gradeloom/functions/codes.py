@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gradeloom.functions import rules
-from gradeloom.functions._columns import ColumnLike, col
+from gradeloom.functions._columns import ColumnLike, bind, col
 
 _LETTERS_THEN_DIGITS = r"^([A-Za-z]*)([0-9]*)"
 
@@ -39,7 +39,7 @@ def school_code(c: ColumnLike) -> Column:
     c = col(c)
     active = F.concat(F.substring(c, 1, 3), F.lit("1"), F.substring(c, 5, 6))
     stem = F.concat(F.substring(active, 1, 4), F.lit("2"), F.substring(active, 6, 4))
-    fixed = F.when(F.substring(c, 5, 1) == "3", F.concat(stem, check_digit(stem))).otherwise(active)
+    fixed = F.when(F.substring(c, 5, 1) == "3", bind(stem, lambda s: F.concat(s, check_digit(s)))).otherwise(active)
     return F.when(F.length(c) == 10, fixed)
 
 

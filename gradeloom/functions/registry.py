@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gradeloom.functions import rules
-from gradeloom.functions._columns import ColumnLike, col, strip
+from gradeloom.functions._columns import ColumnLike, bind, col, strip
 from gradeloom.functions.codes import school_code
 from gradeloom.functions.names import title_case
 
@@ -21,14 +21,12 @@ def registry_cell(c: ColumnLike) -> Column:
 
 def registry_code_cell(c: ColumnLike) -> Column:
     """Codes of more than three characters are brought to their active form."""
-    c = registry_cell(c)
-    return F.when(F.length(c) > 3, school_code(c)).otherwise(c)
+    return bind(registry_cell(c), lambda cell: F.when(F.length(cell) > 3, school_code(cell)).otherwise(cell))
 
 
 def bad_registry_code(c: ColumnLike) -> Column:
     """A long code cell that has no active form."""
-    cell = registry_cell(c)
-    return F.coalesce((F.length(cell) > 3) & school_code(cell).isNull(), F.lit(False))
+    return bind(registry_cell(c), lambda cell: F.coalesce((F.length(cell) > 3) & school_code(cell).isNull(), F.lit(False)))
 
 
 def _edge(c: Column) -> Column:
