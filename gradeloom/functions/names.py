@@ -21,17 +21,22 @@ _SCRIPTS, _SPELLED_OUT = rules.script_table()
 def plain_letters(c: ColumnLike) -> Column:
     """Latin text without accents; letters of other alphabets are spelled out. Scripts without letters (signs
     for words or syllables) stay as they are."""
-    c = col(c)
-    spelled = F.translate(replace_all(c, _SPELLED_OUT), *_SCRIPTS)
-    text = F.when(c.rlike(rules.OTHER_SCRIPTS), spelled).otherwise(c)
-    return F.translate(replace_all(text, rules.PLAIN_LIGATURES), _ACCENTS_FROM, _ACCENTS_TO)
+
+    def latin(text: Column) -> Column:
+        spelled = F.translate(replace_all(text, _SPELLED_OUT), *_SCRIPTS)
+        return F.when(text.rlike(rules.OTHER_SCRIPTS), spelled).otherwise(text)
+
+    return F.translate(replace_all(bind(col(c), latin), rules.PLAIN_LIGATURES), _ACCENTS_FROM, _ACCENTS_TO)
 
 
 def _repair_quotes(c: Column) -> Column:
-    text = replace_all(replace_all(c, rules.MOJIBAKE), rules.QUOTES)
-    bare = F.replace(text, F.lit('"'), F.lit(""))
-    kept = (F.length(text) - F.length(bare)).isin(0, 2)
-    return F.when(kept, text).otherwise(bare)
+
+    def paired(text: Column) -> Column:
+        bare = F.replace(text, F.lit('"'), F.lit(""))
+        kept = (F.length(text) - F.length(bare)).isin(0, 2)
+        return F.when(kept, text).otherwise(bare)
+
+    return bind(replace_all(replace_all(c, rules.MOJIBAKE), rules.QUOTES), paired)
 
 
 def repair_encoding(c: ColumnLike) -> Column:
@@ -48,7 +53,7 @@ def canonical_name(name: ColumnLike, county: ColumnLike, place_rules: bool = Tru
     text = F.upper(F.replace(repair_encoding(name), F.lit("_"), F.lit(" ")))
     if place_rules:
         text = _abbreviate_places(text)
-    text = strip(F.regexp_replace(text, " +", " "))
+    text = strip(F.regexp_replace(text, " {2,}", " "))
     return F.when(col(county).isNotNull(), text)
 
 
@@ -61,7 +66,7 @@ def _as_id(text: Column, place_rules: bool = True) -> Column:
     text = F.upper(text)
     if place_rules:
         text = _abbreviate_places(text)
-    text = F.trim(F.regexp_replace(text, " +", " "))
+    text = F.trim(F.regexp_replace(text, " {2,}", " "))
     return F.replace(text, F.lit(" "), F.lit("_"))
 
 
@@ -105,8 +110,10 @@ def pretty_quotes(c: ColumnLike) -> Column:
 
 def _display_word(word: Column) -> Column:
     kept = {_fold_word(w): w for w in rules.KEPT_WORDS}
-    # No kept word is longer than six letters, so longer ones skip the accent table.
-    exception = F.when(F.length(word) <= 6, lookup(plain_letters(F.lower(word)), kept))
+    low = F.lower(word)
+    # No kept word is longer than six letters, so longer ones skip the tables, and ASCII ones that of accents.
+    plain = F.when(F.octet_length(low) == F.length(low), low).otherwise(plain_letters(low))
+    exception = F.when(F.length(word) <= 6, lookup(plain, kept))
     return F.coalesce(exception, F.initcap(word))
 
 
@@ -141,7 +148,7 @@ def display_name_old(name: ColumnLike) -> Column:
 def display_name_with_proposal(name: ColumnLike, proposed: ColumnLike) -> Column:
     """A supplied name if it is the same name, else the rule-based one."""
     accepted = F.when(same_name(proposed, name), col(proposed))
-    return pretty_quotes(F.coalesce(accepted, display_name(display_name(name))))
+    return pretty_quotes(F.coalesce(accepted, bind(display_name(name), display_name)))
 
 
 def title_case(c: ColumnLike) -> Column:

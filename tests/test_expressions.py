@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from catalog import views
 from gradeloom.functions import codes, distance, grades, labels, names, placement, registry, rules
 from gradeloom.functions.distance import edit_distances, near_pairs
 
@@ -195,3 +196,30 @@ def test_letters_of_other_scripts(values):
     found = values(lambda c: names.canonical_id(c, F.lit("AB")), list(cases))
     for (text, wanted), got in zip(cases.items(), found, strict=True):
         assert got == wanted, (text, got)
+
+
+def test_cells_are_worked_out_once(spark):
+    """The text of an expression names its cell a few times, not once for each use of what is made of it."""
+    made = {
+        "proposal": names.display_name_with_proposal("cell_a", "cell_b"), "display": names.display_name("cell_a"),
+    }
+    assert all(str(column).count("cell_a") <= 3 for column in made.values()), made.keys()
+
+
+def test_registry_codes_are_worked_out_once(spark):
+    assert str(registry.registry_code_cell("cell_a")).count("cell_a") <= 3
+    assert str(registry.bad_registry_code("cell_a")).count("cell_a") <= 3
+
+
+def test_ascii_words_of_display_names_skip_the_accent_table(values):
+    cells = ["SCOALA DE ARTE SI MESERII II", "Școala ŞI ȘI sau", "ﬁ dé DÉ æ ß", None, "x  de   y"]
+    assert values(names.display_name, cells) == [
+        "Scoala de Arte și Meserii II", "Școala și și sau", "Fi de de Æ Ss", None, "X de Y",
+    ]
+
+
+def test_small_files_are_dealt_to_all_cores(spark, tmp_path):
+    spark.range(50).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    rows = views.table(spark, str(tmp_path), "part")
+    assert rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert sorted(r.id for r in rows.collect()) == list(range(50))
