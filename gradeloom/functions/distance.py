@@ -102,12 +102,22 @@ def _pair_step(places: list[np.ndarray], last: np.ndarray, signs: np.ndarray, le
     return score
 
 
-def near_pairs(keys: list[str], texts: list[str], most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unary(counts: np.ndarray, held: np.ndarray) -> list[np.ndarray]:
+    """Words of 64 bits: for each column of ``counts``, of up to ``held`` bits as many as the count are set."""
+    bits = [counts[:, g] > n for g in range(len(held)) for n in range(held[g])]
+    bits += [np.zeros(len(counts), dtype=bool)] * (-len(bits) % 64)
+    words = np.packbits(np.array(bits, dtype=bool).reshape(len(bits), len(counts)).T, axis=1)
+    return list(np.ascontiguousarray(np.ascontiguousarray(words).view(np.uint64).T)) if bits else []
+
+
+def near_pairs(keys: list[str], texts: list[str], most: np.ndarray, enough: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Key, text and distance of all pairs whose distance is at most ``most`` of the key, in this order.
 
     Letters that one side has more of must be taken out or changed, so their number, of the side with more
     of them, is a lower bound. Only pairs within it are compared: a quarter of those of school names at
-    four tenths of the length, a hundredth at one tenth.
+    four tenths of the length, a hundredth at one tenth. Where the ``enough`` nearest texts of a key and all as near
+    as the last of them will do, pairs are compared by rising bound, and a key is done once so many are no farther
+    than the bound of the pairs left; farther pairs of it may be missing.
     """
     nothing = np.zeros(0, dtype=np.int64)
     if not keys or not texts:
@@ -116,21 +126,41 @@ def near_pairs(keys: list[str], texts: list[str], most: np.ndarray) -> tuple[np.
     signs = np.unique(np.concatenate(coded_keys + coded_texts + [np.zeros(1, dtype=np.uint32)]))
     coded_keys, coded_texts = [np.searchsorted(signs, k) for k in coded_keys], [np.searchsorted(signs, t) for t in coded_texts]
     of_keys, of_texts = (np.stack([np.bincount(x % GROUPS, minlength=GROUPS) for x in coded]).astype(np.int32) for coded in (coded_keys, coded_texts))
-    rows, columns = [], []
+    # Letters a pair has in common are bits in common, as many bits as a side has of each letter.
+    held = np.minimum(of_keys.max(axis=0), of_texts.max(axis=0))
+    key_bits, text_bits = (_unary(of, held) for of in (of_keys, of_texts))
+    key_sizes, text_sizes = of_keys.sum(axis=1), of_texts.sum(axis=1)
+    rows, columns, bounds = [], [], []
     for start in range(0, len(keys), 256):
-        part = of_keys[start:start + 256]
-        more, fewer = (np.zeros((len(part), len(texts)), dtype=np.int32) for _ in range(2))
-        for g in np.flatnonzero(of_keys.any(axis=0) | of_texts.any(axis=0)):
-            change = part[:, g, None] - of_texts[None, :, g]
-            more += np.maximum(change, 0)
-            fewer -= np.minimum(change, 0)
-        row, column = np.nonzero(np.maximum(more, fewer) <= most[start:start + 256, None])
+        part = slice(start, start + 256)
+        least = np.maximum(key_sizes[part, None], text_sizes[None, :])
+        for a, b in zip(key_bits, text_bits, strict=True):
+            least -= np.bitwise_count(a[part, None] & b[None, :])
+        row, column = np.nonzero(least <= most[part, None])
         rows.append(row + start)
         columns.append(column)
-    row, column = np.concatenate(rows), np.concatenate(columns)
+        bounds.append(least[row, column])
+    row, column, bound = np.concatenate(rows), np.concatenate(columns), np.concatenate(bounds)
+    if enough is None or 4 * enough >= len(texts):
+        return _compared(coded_keys, coded_texts, len(signs), most, row, column)
+    found, below, waiting = [], 0, np.ones(len(keys), dtype=bool)
+    while len(row):
+        upto = 2 * below + 2  # pairs with a bound below it
+        now = bound < upto
+        found.append(_compared(coded_keys, coded_texts, len(signs), most, row[now], column[now]))
+        below = upto
+        known = np.concatenate([f[0][f[2] < below] for f in found])
+        waiting &= np.bincount(known, minlength=len(keys)) < enough
+        left = ~now & waiting[row]
+        row, column, bound = row[left], column[left], bound[left]
+    return tuple(np.concatenate(f) for f in zip(*found, strict=True)) if found else (nothing, nothing, nothing)
+
+
+def _compared(coded_keys: list[np.ndarray], coded_texts: list[np.ndarray], signs: int, most: np.ndarray, row: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Those of the pairs ``row``, ``column`` whose distance is at most ``most`` of the key, and the distance."""
 
     lengths, own = np.array([len(t) for t in coded_texts]), np.array([len(k) for k in coded_keys])
-    padded = np.zeros((int(lengths.max()) + 1, len(texts)), dtype=np.int64)
+    padded = np.zeros((int(lengths.max()) + 1, len(coded_texts)), dtype=np.int64)
     for n, text in enumerate(coded_texts):
         padded[: len(text), n] = text
     dist, widths = np.zeros(len(row), dtype=np.int64), -(-own // WORD)
@@ -140,9 +170,9 @@ def near_pairs(keys: list[str], texts: list[str], most: np.ndarray) -> tuple[np.
             dist[pairs] = lengths[column[pairs]]
             continue
         members = np.flatnonzero(widths == words)
-        number = np.zeros(len(keys), dtype=np.int64)
-        number[members] = np.arange(len(members)) * len(signs)
-        places = [np.zeros(len(members) * len(signs), dtype=np.uint64) for _ in range(words)]
+        number = np.zeros(len(coded_keys), dtype=np.int64)
+        number[members] = np.arange(len(members)) * signs
+        places = [np.zeros(len(members) * signs, dtype=np.uint64) for _ in range(words)]
         for k in members:
             for w in range(words):
                 part = coded_keys[k][w * WORD:(w + 1) * WORD]

@@ -129,7 +129,7 @@ def _compare_tile(limit: int):
     def compare(keys: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
         if keys.empty or names.empty:
             return pd.DataFrame({"county": [], "key": [], "dist": [], "codes": []})
-        row, column, dist = near_pairs(keys["key"].tolist(), names["alias"].tolist(), keys["k"].to_numpy())
+        row, column, dist = near_pairs(keys["key"].tolist(), names["alias"].tolist(), keys["k"].to_numpy(), limit + 1)
         # Of each key the nearest limit + 1 names, and all as near as the last of them.
         order = np.lexsort((dist, row))
         sorted_row, sorted_dist = row[order], dist[order]

@@ -187,6 +187,28 @@ def test_few_pairs_are_compared(monkeypatch):
     assert sum(compared) < len(names) ** 2 / 2
 
 
+def test_pairs_farther_than_the_nearest_are_not_compared(monkeypatch):
+    """With few names asked for, a key is done when no pair left can be as near; what is found is what all pairs give."""
+    words = ["GEAR", "BOLT", "WIRE", "LAMP", "DOOR", "RUST", "MILK", "SAND"]
+    texts = [f"SCOALA_{a}_{b}_NR_{str(n) * 10}" for n in range(6) for a in words for b in words]
+    keys = texts[::7] + [t.replace("L", "") for t in texts[::5]] + ["SCOALA_" + t[12:16] + t for t in texts[::9]] + ["", "ZZZZ", "N_" * 40]
+    most = np.array([len(k) * 4 // 10 for k in keys])
+    for enough in (1, 2, 20):
+        compared = []
+        step = distance._pair_step
+        with monkeypatch.context() as patch:
+            patch.setattr(distance, "_pair_step", lambda places, last, *more: compared.append(len(last)) or step(places, last, *more))
+            row, column, dist = near_pairs(keys, texts, most, enough)
+        assert enough > 2 or sum(compared) < len(keys) * len(texts) / 8
+        matrix = edit_distances(keys, texts)
+        got = {(r, c): d for r, c, d in zip(row.tolist(), column.tolist(), dist.tolist(), strict=True)}
+        assert len(got) == len(row) and all(matrix[r, c] == d <= most[r] for (r, c), d in got.items())
+        for r in range(len(keys)):
+            near = np.sort(matrix[r][matrix[r] <= most[r]])
+            last = near[min(enough, len(near)) - 1] if len(near) else -1
+            assert {(r, c) for c in np.flatnonzero(matrix[r] <= last).tolist()} <= set(got)
+
+
 def test_letters_of_other_scripts(values):
     cases = {
         "Школа № 5 Щукин": "SHKOLA_NO_5_SHCHUKIN_AB", "Лицей имени Ёлкина": "LITSEI_IMENI_IOLKINA_AB", "Гимназия": "GIMNAZIIA_AB",
