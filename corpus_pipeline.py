@@ -7,14 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gradeloom.llm import bpe, exact_dedup, langid, mixing, shingles, simhash
+from gradeloom.llm.common import small_batches
 from gradeloom.llm.queries import new_batch, vocabulary
 from gradeloom.session import shared_folder
 
+#: Texts that a Python task of a stage gets at a time.
+BATCH = 1_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told stay; those without a letter go."""
+    small_batches(spark, BATCH)
     return langid.keep_identified(docs, langid.learn(docs, ~langid.held_out()))
 
 
@@ -27,6 +32,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest doc_id. Candidates are the texts
     of a SimHash component (fingerprints linked at four bits, found at anchors as op9 finds them) and those of a bucket
     of shingles, as four bits are too few for the texts at the limit. All shingles decide: eight tenths must be common."""
+    small_batches(spark, BATCH)
     return shingles.drop_near_copies(docs, also=simhash.text_groups)
 
 
@@ -37,6 +43,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix, and whether they decode to its text."""
+    small_batches(spark, BATCH)
     return bpe.encoded(docs, vocabulary("byte_bpe_50k.json"))
 
 

@@ -21,7 +21,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from gradeloom.llm.common import give_back, id_and_text, tidied
+from gradeloom.llm.common import give_back, id_and_text, slices, tidied
 
 #: White space by the Unicode property, as the words of a vocabulary are split; Python's own \s has four more.
 BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -32,6 +32,8 @@ WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{BLANK
 REMEMBERED = 400_000
 #: Characters of text that are encoded in one go.
 GO = 1_000_000
+#: Texts that are Python strings at a time, of those in a batch.
+ROWS = 500
 
 
 def byte_letters() -> dict[str, int]:
@@ -237,19 +239,22 @@ def encoded(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in found:
-            encoder = encoder or Encoder(Vocabulary(content.value))
-            texts = batch.column("text").to_pylist()
-            for a, b in in_goes(texts):
-                both = list(encoder.each(texts[a:b]))
-                lengths = np.cumsum([0, *(len(own) for own, _ in both)]).astype(np.int32)
-                flat = np.concatenate([own for own, _ in both]).astype(np.int32)
-                exact = [decoded == text for text, (_, decoded) in zip(texts[a:b], both, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(a, b - a) for c in ("doc_id", "source", "lang")), pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat)), pa.array(exact, pa.bool_())],
-                    names=["doc_id", "source", "lang", "ids", "exact"],
-                )
-                del both, flat
+            if encoder is None:
+                encoder = Encoder(Vocabulary(content.value))
                 give_back()
+            for some in slices(batch, ROWS):
+                texts = some.column("text").to_pylist()
+                for a, b in in_goes(texts):
+                    both = list(encoder.each(texts[a:b]))
+                    lengths = np.cumsum([0, *(len(own) for own, _ in both)]).astype(np.int32)
+                    flat = np.concatenate([own for own, _ in both]).astype(np.int32)
+                    exact = [decoded == text for text, (_, decoded) in zip(texts[a:b], both, strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [*(some.column(c).slice(a, b - a) for c in ("doc_id", "source", "lang")), pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat)), pa.array(exact, pa.bool_())],
+                        names=["doc_id", "source", "lang", "ids", "exact"],
+                    )
+                    del both, flat
+                    give_back()
 
     rows = id_and_text(docs, "source", "lang")
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("doc_id", "source", "lang"))

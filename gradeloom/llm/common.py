@@ -38,6 +38,19 @@ def tidied(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
     return tidy
 
 
+def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of at most ``rows`` rows, which share its memory."""
+    return (batch.slice(start, rows) for start in range(0, batch.num_rows, rows))
+
+
+def small_batches(spark: SparkSession, rows: int) -> None:
+    """From now on Python tasks of the session get at most ``rows`` rows in a batch. The JVM and the worker both hold
+    a batch, outside of the heap, so long texts want small ones."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

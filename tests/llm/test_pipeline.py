@@ -3,6 +3,7 @@
 import re
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
@@ -10,6 +11,7 @@ import corpus_pipeline
 from catalog import registry
 from catalog.compare import oracle_rows, spark_rows
 from gradeloom.llm import queries
+from gradeloom.llm.common import slices
 from gradeloom.llm.queries import vocabulary
 from gradeloom.session import cut_lineage
 
@@ -107,3 +109,22 @@ def test_duplicate_stages_keep_texts_that_are_no_copies(spark, documents, tmp_pa
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES) - {"op5_token_counts"}))
 def test_query_has_a_row_for_each_document(spark, tables, name):
     assert queries.QUERIES[name](spark, tables).count() == spark.read.parquet(f"{tables}/documents.parquet").count()
+
+
+def test_stages_get_small_batches(spark, documents):
+    """The JVM and a Python worker both hold a batch: 1,000 texts at most, of which 500 are strings at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    kept = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "0")  # no limit
+        rows = [(n, f"heron {n} lamp") for n in range(2_300)]
+        found = corpus_pipeline.encode(spark, documents(rows).coalesce(1), "").collect()
+        assert spark.conf.get(name) == "1000"
+        assert sorted(r.doc_id for r in found) == list(range(2_300)) and all(r.exact and r.ids for r in found)
+        spark.conf.set(name, "70")
+        corpus_pipeline.encode(spark, documents(rows[:1]), "")
+        assert spark.conf.get(name) == "70"
+    finally:
+        spark.conf.set(name, kept)
+    batch = pa.RecordBatch.from_pydict({"n": list(range(7))})
+    assert [s.column("n").to_pylist() for s in slices(batch, 3)] == [[0, 1, 2], [3, 4, 5], [6]]
