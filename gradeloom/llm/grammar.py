@@ -14,7 +14,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gradeloom.llm.bpe import Codes, Encoder, byte_letters, gathered, in_goes
+from gradeloom.llm.bpe import REMEMBERED, Codes, Encoder, byte_letters, gathered, in_goes
 from gradeloom.llm.common import id_and_text
 from gradeloom.session import cut_lineage
 
@@ -30,6 +30,8 @@ from gradeloom.session import cut_lineage
 END = 1
 #: Ids of a shard, about: a shard is closed with the document that reaches this many.
 SHARD_IDS = 1 << 20
+#: Characters of text that are encoded in one go.
+GO = 4_000_000
 #: Symbols, ids and rules together; two bytes hold one.
 SYMBOLS = 1 << 16
 #: A pair gets a rule if it is found this often; and in a round, if it is at least one FRACTIONth as frequent as the first.
@@ -41,17 +43,18 @@ _BLANKS = re.compile(r"[^\t-\r ]+")
 #: Letters of Latin-1 in lower case. No normalisation changes or joins them.
 _LETTER = "a-z\xdf-\xf6\xf8-\xff"
 _LETTERS = re.compile(f"[{_LETTER}]+")
-#: Letters and other characters apart: right where no apostrophe or further letter is found.
-_RUNS = re.compile(rf"[{_LETTER}]+|[^{_LETTER}\t-\r ]+")
-#: Words of letters alone and the full stops and commas after them apart, all else between blanks whole.
-_PIECES = re.compile(rf"(?<![^\t-\r ])[{_LETTER}]+(?=[.,]*(?![^\t-\r .,]))|(?<=[{_LETTER}])[.,]+(?![^\t-\r ])|[^\t-\r ]+")
+#: What a byte of Latin-1 in lower case is: 0 a blank, 1 a letter, 2 anything else.
+_KIND = np.array([0 if 9 <= b <= 13 or b == 32 else 1 if _LETTERS.fullmatch(chr(b)) else 2 for b in range(256)], dtype=np.uint8)
+#: Characters that join letters or are letters themselves: a chunk with one of them stays whole.
+_JOINS = np.isin(np.arange(256), list(b"'" + "ªµº".encode("latin-1")))
 
 
 class WordEncoder(Encoder):
     """Encodes with the tokenizers library, a chunk between blanks at a time, and remembers chunks.
 
     The tokenizer drops blanks, so the ids of a text are those of its chunks. In Latin-1 texts case
-    makes no difference, and letters are never joined with other characters but after an apostrophe. Words of Latin
+    makes no difference, and letters are never joined with other characters but after an apostrophe: chunks without
+    one are cut into runs of letters and of others. Of many such texts each distinct run is looked up once. Words of Latin
     letters go to the library's model directly, since nothing else would change or split them.
     """
 
@@ -68,30 +71,85 @@ class WordEncoder(Encoder):
 
     def _forget(self) -> None:
         self.known = Codes()
-        self.ids = np.zeros(0, dtype=np.int64)
-        self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.ids, self.held = np.zeros(1 << 16, dtype=np.int32), 0  # with room to grow
+        self.starts, self.lengths = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
 
-    def _chunks(self, text: str) -> list[str]:
-        if "<|" in text:  # the marks of special ids are case-sensitive
-            return _BLANKS.findall(text)
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return _BLANKS.findall(text)
-        return (_PIECES if any(c in text for c in "'ªµº") else _RUNS).findall(text.lower())
+    def _add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        end = self.held + len(ids)
+        if end > len(self.ids):
+            self.ids = np.r_[self.ids[:self.held], np.zeros(2 * end - self.held, dtype=np.int32)]
+        self.ids[self.held:end] = ids
+        self.starts = np.r_[self.starts, (self.held + np.cumsum(lengths) - lengths).astype(np.int32)]
+        self.lengths, self.held = np.r_[self.lengths, lengths.astype(np.int32)], end
 
-    def _learn(self, chunks: list[str]) -> None:
-        self._add(*self._ids(chunks))
+    def _chunks(self, text: str) -> list[str]:
+        return _BLANKS.findall(text)
+
+    def _codes(self, chunks: list[str] | list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.known.__getitem__, chunks), dtype=np.int64, count=len(chunks))
+
+    def _run_codes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the runs of Latin-1 texts, and how many each text has."""
+        data = np.frombuffer("\n".join(texts).lower().encode("latin-1"), dtype=np.uint8)
+        kind, joins = _KIND[data], np.flatnonzero(_JOINS[data])
+        if len(joins):
+            chunk = np.cumsum((kind > 0) & np.r_[True, kind[:-1] == 0])
+            whole = np.zeros(chunk[-1] + 1, dtype=bool)
+            whole[chunk[joins]] = True
+            kind[whole[chunk] & (kind > 0)] = 3
+        starts = np.flatnonzero(np.r_[len(kind) > 0, kind[1:] != kind[:-1]])
+        lengths = np.diff(np.r_[starts, len(kind)])
+        real = kind[starts] > 0
+        ends = np.cumsum(np.r_[0, lengths[real]]).astype(np.int32)
+        runs = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data[kind > 0])]).dictionary_encode()
+        codes = self._codes(runs.dictionary.to_numpy(zero_copy_only=False).tolist())
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        return codes[runs.indices.to_numpy()], np.diff(np.searchsorted(starts[real], begins))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and how many each text has."""
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        before = len(self.known)
+        plain = np.array([_plain(t) for t in texts], dtype=bool)
+        codes, counts = self._run_codes([t for t, p in zip(texts, plain, strict=True) if p])
+        chunks = [self._chunks(t) for t, p in zip(texts, plain, strict=True) if not p]
+        if chunks:  # back in the order of the texts
+            codes = np.r_[codes, self._codes([c for own in chunks for c in own])]
+            own = np.zeros(len(texts), dtype=np.int64)
+            own[plain], own[~plain] = counts, [len(c) for c in chunks]
+            begins, order = np.zeros(len(texts), dtype=np.int64), np.r_[np.flatnonzero(plain), np.flatnonzero(~plain)]
+            begins[order] = np.cumsum(own[order]) - own[order]
+            codes, counts = codes[gathered(begins, own)], own
+        if len(self.known) > before:
+            self._learn(list(islice(self.known, before, None)))
+        lengths = self.lengths[codes]
+        ends = np.r_[0, np.cumsum(lengths)]
+        return self.ids[gathered(self.starts[codes], lengths)], np.diff(ends[np.r_[0, np.cumsum(counts)]])
+
+    def _learn(self, chunks: list[str | bytes]) -> None:
+        self._add(*self._ids([c if isinstance(c, str) else c.decode("latin-1") for c in chunks]))
 
     def _ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = []
+        found, tokenize, letters = [], self.model.tokenize, _LETTERS.fullmatch
         for part in parts:
-            if _LETTERS.fullmatch(part):  # one word of the model, normalised as it is
-                found.append([t.id for t in self.model.tokenize(part if part.isascii() else part.translate(self.letters))])
+            if letters(part):  # one word of the model, normalised as it is
+                found.append([t.id for t in tokenize(part if part.isascii() else part.translate(self.letters))])
             else:
                 found.append(self.tokenizer.encode(part, add_special_tokens=False).ids)
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        return np.fromiter(chain.from_iterable(found), dtype=np.int64, count=int(lengths.sum())), lengths
+        return np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum())), lengths
+
+
+def _plain(text: str) -> bool:
+    """Whether a text is Latin-1 and has no mark of a special id; these are case-sensitive."""
+    if "<|" in text:
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 @lru_cache(maxsize=1)
@@ -107,18 +165,19 @@ def compressed(ids: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.
     while room > 0 and len(rest) > 1:
         keys = rest[:-1] << np.uint32(16) | rest[1:]
         ordered = np.sort(keys)
+        ordered = ordered[:-LEAST + 1][ordered[LEAST - 1:] == ordered[:-LEAST + 1]]  # of each pair LEAST - 1 places fewer
+        if not len(ordered):
+            break
         edge = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        counts = np.diff(np.r_[edge, len(ordered)])
-        often = counts >= max(LEAST, int(counts.max()) // FRACTION)
+        counts = np.diff(np.r_[edge, len(ordered)]) + LEAST - 1
+        often = counts >= int(counts.max()) // FRACTION
         pairs, counts = ordered[edge[often]], counts[often]
-        if not len(pairs):
-            break
         if len(pairs) > room:
             pairs = np.sort(pairs[np.argsort(-counts, kind="stable")[:room]])
         # most places are ruled out by a table of hashes before the search
-        table = np.zeros(1 << 16, dtype=bool)
-        table[pairs * np.uint32(0x9E3779B1) >> np.uint32(16)] = True
-        place = np.flatnonzero(table[keys * np.uint32(0x9E3779B1) >> np.uint32(16)])
+        table = np.zeros(1 << 18, dtype=bool)
+        table[pairs * np.uint32(0x9E3779B1) >> np.uint32(14)] = True
+        place = np.flatnonzero(table[keys * np.uint32(0x9E3779B1) >> np.uint32(14)])
         rule = np.minimum(np.searchsorted(pairs, keys[place]), len(pairs) - 1)
         same = pairs[rule] == keys[place]
         place, rule = place[same], rule[same]
@@ -241,7 +300,7 @@ def written(docs: DataFrame, vocabulary: str, shard_ids: int = SHARD_IDS) -> Dat
         for batch in found:
             encoder = encoder or encoder_of(held.value)
             names, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for a, b in in_goes(texts):
+            for a, b in in_goes(texts, GO):
                 ids, lengths = encoder.encode(texts[a:b])
                 ends = np.cumsum(lengths)
                 for name, start, end in zip(names[a:b], (ends - lengths).tolist(), ends.tolist(), strict=True):

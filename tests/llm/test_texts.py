@@ -340,3 +340,25 @@ def test_token_file_tasks_share_an_encoder():
     again = grammar.encoder_of(bytes(bytearray(content)))
     assert again is first and len(again.known) > 0
     assert [ids.tolist() for ids in grammar.WordEncoder(content).encode(["heron lamp", "Straße heron"])] == before
+
+
+def test_token_files_look_up_a_distinct_run_once():
+    """Runs of Latin-1 texts encoded together are looked up once each; ids are the library's, whatever a text holds."""
+    with open(vocabulary("word_bpe_49k.json"), "rb") as file:
+        content = file.read()
+    encoder, asked = grammar.WordEncoder(content), []
+
+    class Counted(grammar.Codes):
+        def __getitem__(self, chunk):
+            asked.append(chunk)
+            return super().__getitem__(chunk)
+
+    encoder.known = Counted()
+    encoder.encode(["heron, lamp heron lamp, "] * 50)
+    assert len(asked) == 3
+    tokenizer = tokenizers.Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    texts = ODD + random_texts(300, 8) + ["it's l'été, heron's\xa0º 2²", "", "漢 it's"]
+    ids, lengths = encoder.encode(texts)
+    own = np.split(ids, np.cumsum(lengths)[:-1])
+    assert [o.tolist() for o in own] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [len(a) for a in encoder.encode([])] == [0, 0]
