@@ -12,7 +12,7 @@ from catalog.registry import as_double, query
 from catalog.table_queries import _BASE, _BATCH_ORDER, stored_rows, update_batch
 from gradeloom.operators.dedupe import keep_first
 from gradeloom.plans import loads, years
-from gradeloom.session import shared_folder
+from gradeloom.session import cut_lineage, shared_folder
 from gradeloom.sources import readers
 from gradeloom.sources.years import YearTable
 
@@ -183,7 +183,7 @@ def high_schools(spark: SparkSession, sf: str) -> DataFrame:
 
 def _en_years(spark: SparkSession, sf: str, placement_last: bool) -> DataFrame:
     """8th-grade years from open data, the results site and the placement site, in one of two orders."""
-    raw = views.results(spark, sf).withColumnRenamed("an", "year")
+    raw = cut_lineage(views.results(spark, sf).withColumnRenamed("an", "year"))  # three layers read it
     first = loads.Layer(raw, EN_CODES)
     site = loads.Layer(raw.filter(F.col("ord") % 3 != 0), EN_NAMES, update=True)
     placed = loads.Layer(raw.filter(F.col("ord") % 5 != 0), EN_PLACED, update=True, detect_placement=True)

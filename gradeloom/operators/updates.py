@@ -70,17 +70,23 @@ def fold_layers(base: DataFrame, layers: list[DataFrame], key: list[str], scope:
         cells = [(F.col(c) if c in layer.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in columns]
         part = layer.select(*key, *cells, F.lit(number).alias("_layer"))
         stacked = part if stacked is None else stacked.unionByName(part)
-    # One row for each layer and value of the scope.
-    filled = stacked.groupBy(scope, "_layer").agg(*[F.bool_or(F.col(c).isNotNull()).alias(f"_fills_{c}") for c in columns])
-    last = [F.max_by(F.struct(F.col(c).alias("value")), F.when(F.col(f"_fills_{c}"), F.col("_layer"))).alias(f"_new_{c}") for c in columns]
+    # One row for each value of the scope.
+    filled = stacked.groupBy(scope, "_layer").agg(*[F.bool_or(F.col(c).isNotNull()).alias(c) for c in columns])
+    fills = [F.bool_or(F.when(F.col("_layer") == n, F.col(c))).alias(f"_fills_{n}_{c}") for n in range(len(layers)) for c in columns]
+    filled = filled.groupBy(scope).agg(*fills)
+    own = [F.first(F.when(F.col("_layer") == n, F.struct(*columns)), ignorenulls=True).alias(f"_new_{n}") for n in range(len(layers))]
     layer = F.expr("shiftleft(1L, _layer)")
-    folded = stacked.join(F.broadcast(filled), [scope, "_layer"]).groupBy(*key).agg(*last, (F.sum(layer) != F.bit_or(layer)).alias("_again"))
+    folded = stacked.groupBy(*key).agg(*own, (F.sum(layer) != F.bit_or(layer)).alias("_again")).join(F.broadcast(filled), scope)
     joined = base.withColumn("_old", F.lit(True)).join(folded, key, "full_outer")
     repeats = F.raise_error(F.lit("a layer repeats a key; keep its first row")).cast("boolean")
-    value = [
-        F.when(F.col(f"_new_{c}").isNotNull(), F.col(f"_new_{c}.value")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
-        for c in base.columns
-    ]
+
+    def latest(c: str) -> Column:
+        value = F.col(c)
+        for n in range(len(layers)):
+            value = F.when(F.col(f"_new_{n}").isNotNull() & F.col(f"_fills_{n}_{c}"), F.col(f"_new_{n}.{c}")).otherwise(value)
+        return value.alias(c)
+
+    value = [latest(c) if c in columns else F.col(c) for c in base.columns]
     known = F.col("_old").isNotNull()
     hit = F.when(F.col("_again"), repeats).otherwise(known & F.col("_again").isNotNull())
     return joined.select(*value, known.alias("is_known"), hit.alias("is_updated"))

@@ -79,7 +79,9 @@ def _batches(make, columns: list[str], layers: list[Layer], year: str, schools:
             rows = _codes(rows, report.years, schools, "repartizat_liceu_nume", "repartizat_cod_judet", "repartizat_liceu_siiir", False, False)
         if layer.keep_first_by:
             rows = dedupe.keep_first(rows, KEY, layer.keep_first_by)
-        batches.append(rows.select(*columns))
+        rows = rows.select(*columns)
+        # Read for the names without a code, for what a layer fills, and for the fold: codes are attached once.
+        batches.append(cut_lineage(rows) if layer.detect_origin or layer.detect_placement or layer.keep_first_by else rows)
     return batches, report
 
 

@@ -3,6 +3,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import year_queries
 from gradeloom.operators import updates
 from gradeloom.plans import loads, years
 from gradeloom.sources import contracts
@@ -192,3 +193,31 @@ def test_years_equal_the_loads_of_single_years(spark, tmp_path):
     # a later load that only updates
     late = years.load_en_years(table, [loads.Layer(both(placed).withColumn("madm", F.lit("7")), maps["admission_static_site"], update=True)], "y")
     assert late.version == 2 and {r.medie_adm for r in table.read().collect()} == {D("7.00")}
+
+
+def test_layers_are_folded_by_one_value_each(spark):
+    """A layer's row of a key is one value of the aggregate, however many columns it has."""
+    base = spark.createDataFrame([(1, "a", "x", 1.0), (2, None, "y", 2.0)], SCHEMA)
+    layers = [spark.createDataFrame([(1, "a", None, 5.0), (None, "a", "n", 1.0), (2, None, "z", 3.0)], SCHEMA)] * 2
+    found = updates.fold_layers(base, layers, ["an", "cod"], "an")
+    assert "max_by" not in found._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(tuple, found.select(*base.columns, "is_known", "is_updated").collect()), key=str) == [
+        (1, "a", "x", 5.0, True, True), (2, None, "y", 2.0, True, False), (2, None, "z", 3.0, False, False)]
+
+
+def test_records_of_en_years_are_made_once(spark, monkeypatch):
+    """Three layers read the joined records, so they are stored."""
+    layers = []
+
+    def load(table, found, *args, **kwargs):
+        layers.extend(found)
+        raise StopIteration
+
+    left, right = spark.createDataFrame([(2020, 1)], "an int, ord long"), spark.createDataFrame([(1, "x")], "ord long, mark string")
+    monkeypatch.setattr(year_queries.views, "results", lambda *_: left.join(right, "ord"))
+    monkeypatch.setattr(year_queries, "high_schools", lambda *_: None)
+    monkeypatch.setattr(year_queries.years, "load_en_years", load)
+    with pytest.raises(StopIteration):
+        year_queries.en_layered_years(spark, "")
+    assert len(layers) == 3
+    assert all("Join" not in layer.raw._jdf.queryExecution().optimizedPlan().toString() for layer in layers)
