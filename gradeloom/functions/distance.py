@@ -13,6 +13,7 @@ WORD = 64
 # Bounds the memory of one step, whatever the size of the tile.
 KEYS_AT_ONCE = 32
 PAIRS_AT_ONCE = 8_192
+BOUNDS_AT_ONCE = 4_194_304
 #: Letters are counted in so many groups for the lower bound.
 GROUPS = 40
 
@@ -110,78 +111,95 @@ def _unary(counts: np.ndarray, held: np.ndarray) -> list[np.ndarray]:
     return list(np.ascontiguousarray(np.ascontiguousarray(words).view(np.uint64).T)) if bits else []
 
 
-def near_pairs(keys: list[str], texts: list[str], most: np.ndarray, enough: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _coded(texts: list[str], signs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The length of each text; of all letters of all texts, one after another, the number of the sign, the text and the place in it."""
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    owner = np.repeat(np.arange(len(texts)), lengths)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return lengths, np.searchsorted(signs, _letters(["".join(texts)])[0]), owner, place
+
+
+def _group_counts(letters: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+    return np.bincount(owner * GROUPS + letters % GROUPS, minlength=texts * GROUPS).reshape(texts, GROUPS).astype(np.int32)
+
+
+def near_pairs(
+    keys: list[str], texts: list[str], most: np.ndarray, enough: int | None = None, worth: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Key, text and distance of all pairs whose distance is at most ``most`` of the key, in this order.
 
     Letters that one side has more of must be taken out or changed, so their number, of the side with more
     of them, is a lower bound. Only pairs within it are compared: a quarter of those of school names at
     four tenths of the length, a hundredth at one tenth. Where the ``enough`` nearest texts of a key and all as near
     as the last of them will do, pairs are compared by rising bound, and a key is done once so many are no farther
-    than the bound of the pairs left; farther pairs of it may be missing.
+    than the bound of the pairs left; farther pairs of it may be missing. A text counts as many as its ``worth``, else one.
     """
     nothing = np.zeros(0, dtype=np.int64)
     if not keys or not texts:
         return nothing, nothing, nothing
-    coded_keys, coded_texts = _letters(keys), _letters(texts)
-    signs = np.unique(np.concatenate(coded_keys + coded_texts + [np.zeros(1, dtype=np.uint32)]))
-    coded_keys, coded_texts = [np.searchsorted(signs, k) for k in coded_keys], [np.searchsorted(signs, t) for t in coded_texts]
-    of_keys, of_texts = (np.stack([np.bincount(x % GROUPS, minlength=GROUPS) for x in coded]).astype(np.int32) for coded in (coded_keys, coded_texts))
+    signs = np.unique(np.concatenate(_letters(["".join(keys), "".join(texts)]) + [np.zeros(1, dtype=np.uint32)]))
+    own, key_letters, key_of, key_place = _coded(keys, signs)
+    lengths, text_letters, text_of, text_place = _coded(texts, signs)
+    padded = np.zeros((int(lengths.max()) + 1, len(texts)), dtype=np.int32)
+    padded[text_place, text_of] = text_letters
+    of_keys, of_texts = _group_counts(key_letters, key_of, len(keys)), _group_counts(text_letters, text_of, len(texts))
     # Letters a pair has in common are bits in common, as many bits as a side has of each letter.
     held = np.minimum(of_keys.max(axis=0), of_texts.max(axis=0))
     key_bits, text_bits = (_unary(of, held) for of in (of_keys, of_texts))
-    key_sizes, text_sizes = of_keys.sum(axis=1), of_texts.sum(axis=1)
-    rows, columns, bounds = [], [], []
-    for start in range(0, len(keys), 256):
-        part = slice(start, start + 256)
-        least = np.maximum(key_sizes[part, None], text_sizes[None, :])
+    worth = np.ones(len(texts), dtype=np.int64) if worth is None else worth
+    rising, found = enough is not None and 4 * enough < worth.sum(), []
+    step = max(64, BOUNDS_AT_ONCE // len(texts))
+    for start in range(0, len(keys), step):
+        part = slice(start, start + step)
+        least = np.maximum(own[part, None], lengths[None, :]).astype(np.int32)
         for a, b in zip(key_bits, text_bits, strict=True):
             least -= np.bitwise_count(a[part, None] & b[None, :])
         row, column = np.nonzero(least <= most[part, None])
-        rows.append(row + start)
-        columns.append(column)
-        bounds.append(least[row, column])
-    row, column, bound = np.concatenate(rows), np.concatenate(columns), np.concatenate(bounds)
-    if enough is None or 4 * enough >= len(texts):
-        return _compared(coded_keys, coded_texts, len(signs), most, row, column)
-    found, below, waiting = [], 0, np.ones(len(keys), dtype=bool)
-    while len(row):
-        upto = 2 * below + 2  # pairs with a bound below it
-        now = bound < upto
-        found.append(_compared(coded_keys, coded_texts, len(signs), most, row[now], column[now]))
-        below = upto
-        known = np.concatenate([f[0][f[2] < below] for f in found])
-        waiting &= np.bincount(known, minlength=len(keys)) < enough
-        left = ~now & waiting[row]
-        row, column, bound = row[left], column[left], bound[left]
+        bound, mine, below = least[row, column], [], 0
+        some = (key_of >= start) & (key_of < start + step)
+        tables = _sign_tables(own[part], key_letters[some], key_of[some] - start, key_place[some], len(signs))
+        while len(row):
+            below = 2 * below + 2 if rising else int(bound.max()) + 1
+            now = bound < below
+            mine.append(_compared(tables, own[part], lengths, padded, most[part], row[now], column[now]))
+            known = sum(np.bincount(r[d < below], weights=worth[c[d < below]], minlength=len(own[part])) for r, c, d in mine)
+            left = ~now & (known < (enough or 0))[row]
+            row, column, bound = row[left], column[left], bound[left]
+        found += [(r + start, c, d) for r, c, d in mine]
     return tuple(np.concatenate(f) for f in zip(*found, strict=True)) if found else (nothing, nothing, nothing)
 
 
-def _compared(coded_keys: list[np.ndarray], coded_texts: list[np.ndarray], signs: int, most: np.ndarray, row: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Those of the pairs ``row``, ``column`` whose distance is at most ``most`` of the key, and the distance."""
+def _sign_tables(own: np.ndarray, letters: np.ndarray, owner: np.ndarray, place: np.ndarray, signs: int) -> list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """For keys of each number of machine words: which they are, where each key's part begins, and by word the places of each sign in a key."""
+    widths = -(-own // WORD)
+    tables = []
+    for words in np.unique(widths):
+        which = widths == words
+        begin = np.where(which, np.cumsum(which) - 1, 0) * signs
+        places = [np.zeros(which.sum() * signs, dtype=np.uint64) for _ in range(words)]
+        for w in range(words):
+            here = which[owner] & (place // WORD == w)
+            np.bitwise_or.at(places[w], begin[owner[here]] + letters[here], np.uint64(1) << (place[here] % WORD).astype(np.uint64))
+        tables.append((which, begin, places))
+    return tables
 
-    lengths, own = np.array([len(t) for t in coded_texts]), np.array([len(k) for k in coded_keys])
-    padded = np.zeros((int(lengths.max()) + 1, len(coded_texts)), dtype=np.int64)
-    for n, text in enumerate(coded_texts):
-        padded[: len(text), n] = text
-    dist, widths = np.zeros(len(row), dtype=np.int64), -(-own // WORD)
-    for words in np.unique(widths[row]):
-        pairs = np.flatnonzero(widths[row] == words)
-        if words == 0:
+
+def _compared(
+    tables: list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]], own: np.ndarray, lengths: np.ndarray, padded: np.ndarray,
+    most: np.ndarray, row: np.ndarray, column: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Those of the pairs ``row``, ``column`` whose distance is at most ``most`` of the key, and the distance."""
+    dist = np.zeros(len(row), dtype=np.int64)
+    for which, begin, places in tables:
+        pairs = np.flatnonzero(which[row])
+        if not places:
             dist[pairs] = lengths[column[pairs]]
             continue
-        members = np.flatnonzero(widths == words)
-        number = np.zeros(len(coded_keys), dtype=np.int64)
-        number[members] = np.arange(len(members)) * signs
-        places = [np.zeros(len(members) * signs, dtype=np.uint64) for _ in range(words)]
-        for k in members:
-            for w in range(words):
-                part = coded_keys[k][w * WORD:(w + 1) * WORD]
-                np.bitwise_or.at(places[w], number[k] + part, np.uint64(1) << np.arange(len(part), dtype=np.uint64))
         pairs = pairs[np.argsort(lengths[column[pairs]], kind="stable")]
         for start in range(0, len(pairs), PAIRS_AT_ONCE):
             some = pairs[start:start + PAIRS_AT_ONCE]
             size = lengths[column[some]]
             longest = int(size.max())
-            dist[some] = _pair_step(places, own[row[some]], padded[:longest].take(column[some], axis=1), size, number[row[some]]) if longest else own[row[some]]
+            dist[some] = _pair_step(places, own[row[some]], padded[:longest].take(column[some], axis=1), size, begin[row[some]]) if longest else own[row[some]]
     near = dist <= most[row]
     return row[near], column[near], dist[near]

@@ -209,6 +209,24 @@ def test_pairs_farther_than_the_nearest_are_not_compared(monkeypatch):
             assert {(r, c) for c in np.flatnonzero(matrix[r] <= last).tolist()} <= set(got)
 
 
+def test_texts_count_as_many_as_they_are_worth(monkeypatch):
+    """A name that stands for many codes is enough for a key; names as near as the last one are found all the same, in any number of goes."""
+    texts = [f"SCOALA_{a}{b}_{n}" for n in "123" for a in "BCDFGHJK" for b in ["ARA", "ORA", "IRIS", "UNU"]]
+    keys = texts[::3] + [t + "X" for t in texts[::4]] + ["", "Z"]
+    most, worth = np.array([len(k) * 4 // 10 for k in keys]), np.array([1 + 30 * (n % 2) for n in range(len(texts))])
+    matrix = edit_distances(keys, texts)
+    for at_once in (1, 4_194_304):
+        monkeypatch.setattr(distance, "BOUNDS_AT_ONCE", at_once)
+        row, column, dist = near_pairs(keys * 5, texts, np.tile(most, 5), 20, worth)
+        got = {(r, c): d for r, c, d in zip(row.tolist(), column.tolist(), dist.tolist(), strict=True)}
+        assert len(got) == len(row) and all(matrix[r % len(keys), c] == d <= most[r % len(keys)] for (r, c), d in got.items())
+        for r in range(len(keys) * 5):
+            near = sorted((d, c) for c, d in enumerate(matrix[r % len(keys)].tolist()) if d <= most[r % len(keys)])
+            reach = np.cumsum([worth[c] for _, c in near])
+            last = near[min(int(np.searchsorted(reach, 20)), len(near) - 1)][0] if near else -1
+            assert {(r, c) for d, c in near if d <= last} <= set(got)
+
+
 def test_letters_of_other_scripts(values):
     cases = {
         "Школа № 5 Щукин": "SHKOLA_NO_5_SHCHUKIN_AB", "Лицей имени Ёлкина": "LITSEI_IMENI_IOLKINA_AB", "Гимназия": "GIMNAZIIA_AB",

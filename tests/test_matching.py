@@ -72,6 +72,52 @@ def test_fuzzy_equals_brute_force(spark, monkeypatch, seed, limit, in_task):
     assert len(found) == len(got) == len({(r.county, r.code) for r in found})
 
 
+@pytest.mark.parametrize("seed,limit,in_task", [(1, 1, 9999), (2, 2, 9999), (3, 4, 9999), (4, 1, 25), (5, 2, 60), (6, 1, 0), (7, 32, 9999)])
+def test_tier_by_tier_equals_brute_force(spark, monkeypatch, seed, limit, in_task):
+    """Large counties are looked up for each tier; lists run dry, and a county may leave its task for rounds when they are filled again."""
+    monkeypatch.setattr(matching, "PAIRS_FOR_ALL_TIERS", 300)
+    monkeypatch.setattr(matching, "SETTLED_PAIRS", in_task)
+    keys = sorted({("A", k) for k in random_names(seed, 30)} | {("B", k) for k in random_names(seed + 50, 5)})
+    aliases = random_names(seed + 100, 40)
+    targets = sorted({(c, f"{i % 28:03d}", a) for i, a in enumerate(aliases) for c in ("A", "B")} | {("A", f"{i:03d}", aliases[0]) for i in range(6, 30)})
+    found = matching.fuzzy_matches(
+        spark.createDataFrame(keys, "county string, key string"),
+        spark.createDataFrame(targets, "county string, code string, alias string"),
+        [1, 2, 3, 4], limit,
+    ).collect()
+    assert {(r.county, r.key): (r.code, r.dist, r.tier) for r in found} == brute_force(keys, targets, [1, 2, 3, 4])
+    assert len(found) == len({(r.county, r.key) for r in found}) == len({(r.county, r.code) for r in found})
+
+
+def test_pairs_of_keys_and_codes_are_not_stored(spark, monkeypatch):
+    """Keys with many near codes list a few at a time, in one row: what is written grows with the keys and codes, not with their pairs."""
+    keys = [("A", f"A_SCOALA_{a}{b}_MARE") for a in "BCDFG" for b in "AEIOUY"]
+    targets = [("A", f"{n:04d}", f"A_SCOALA_{'BCDFG'[n % 5]}{'AEIOUY'[n // 5 % 6]}T_MARE") for n in range(900)]
+    written, cut = [], matching.cut_lineage
+    monkeypatch.setattr(matching, "cut_lineage", lambda df: written.append(cut(df)) or written[-1])
+    found = matching.fuzzy_matches(
+        spark.createDataFrame(keys, "county string, key string"), spark.createDataFrame(targets, "county string, code string, alias string")
+    )
+    assert found.count() == len(keys)
+    assert max(df.count() for df in written) <= len(targets)
+    assert max(df.select(F.sum(F.size("codes"))).first()[0] for df in written if "codes" in df.columns) <= matching.LISTED_CODES * len(keys)
+
+
+def test_wide_tiers_see_only_what_is_left(spark, monkeypatch):
+    monkeypatch.setattr(matching, "PAIRS_FOR_ALL_TIERS", 0)
+    seen, look_up = [], matching._nearest_lists
+    monkeypatch.setattr(matching, "_nearest_lists", lambda keys, free, tenths, limit: seen.append((tenths, keys.count(), free.count())) or look_up(keys, free, tenths, limit))
+    keys = [("A", "A_SCOALA_MARE_UNU"), ("A", "A_SCOALA_MICA_DOI"), ("A", "A_LICEUL_XXXX_TREI")]
+    targets = [("A", "1", "A_SCOALA_MARE_UNUU"), ("A", "2", "A_SCOALA_MICA_DOIS"), ("A", "3", "A_LICEUL_YYYYY_TREI")]
+    found = matching.fuzzy_matches(
+        spark.createDataFrame(keys, "county string, key string"), spark.createDataFrame(targets, "county string, code string, alias string")
+    )
+    assert sorted((r.key, r.code, r.dist, r.tier) for r in found.collect()) == [
+        ("A_LICEUL_XXXX_TREI", "3", 5, 3), ("A_SCOALA_MARE_UNU", "1", 1, 1), ("A_SCOALA_MICA_DOI", "2", 1, 1)
+    ]
+    assert seen == [(1, 3, 3), (2, 1, 1), (3, 1, 1), (4, 0, 0)]
+
+
 def test_blocks_and_tiles_do_not_change_the_result(spark, monkeypatch):
     keys = spark.createDataFrame(sorted({("A", k) for k in random_names(5, 60)}), "county string, key string")
     rows = sorted({("A", f"{i:03d}", a) for i, a in enumerate(random_names(6, 80))})
